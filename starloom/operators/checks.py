@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.aggregates import table_counts
+
 
 def row_count_check(tables: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
     """Count every table and compare with its metric: ``table_name, n_rows, metric, status``.
 
     A table fails when it has exactly ``metric`` rows, so a metric of 0 asks for "not empty".
-    All tables are counted in one job, and parquet answers from its footers.
     """
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"),
-            "n_rows",
-            F.lit(metric).cast("long").alias("metric"),
-            F.when(F.col("n_rows") != F.lit(metric), "ok").otherwise("failed").alias("status"),
-        )
-        for name, (df, metric) in tables.items()
-    ]
-    return reduce(DataFrame.unionAll, counts)
+    metrics = F.create_map(*(F.lit(item) for name, (_, metric) in tables.items() for item in (name, metric)))
+    metric = F.element_at(metrics, F.col("table_name")).cast("long")
+    return table_counts({name: df for name, (df, _) in tables.items()}).select(
+        "table_name",
+        "n_rows",
+        metric.alias("metric"),
+        F.when(F.col("n_rows") != metric, "ok").otherwise("failed").alias("status"),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.aggregates import table_counts
 from starloom.operators.columns import quoted
 
 
@@ -64,8 +65,8 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def table_shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The shape of every table: ``table_name, n_rows, n_columns``."""
-    shapes = [table_shape(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
-    return reduce(DataFrame.unionAll, shapes)
+    widths = F.create_map(*(F.lit(item) for name, df in tables.items() for item in (name, len(df.columns))))
+    return table_counts(tables).withColumn("n_columns", F.element_at(widths, F.col("table_name")).cast("long"))
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 
 from starloom.functions.text import LABEL_TEXT, TABLE_TEXT, TextStandard
-from starloom.operators.columns import project, standardise_strings
+from starloom.operators.columns import project, standardise_strings, string_columns
 from starloom.operators.duplicates import one_row_per_key
 from starloom.operators.filters import drop_incomplete, keep_not_null
 
@@ -52,7 +52,10 @@ def build_lookup(
 ) -> DataFrame:
     """A lookup dimension from a label list: texts standardised, optionally without incomplete
     and repeated rows."""
-    df = standardise_strings(df, standard)
     if complete_only:
-        df = drop_incomplete(df)
+        # Before the texts are standardised, which would otherwise be done once to test them and
+        # once more to keep them. Standardising adds no NULL, but may fill it.
+        filled = set(string_columns(df)) if standard.fill_null else set()
+        df = drop_incomplete(df, [name for name in df.columns if name not in filled])
+    df = standardise_strings(df, standard)
     return df.distinct() if distinct else df

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from starloom.sources.readers import read_parquet
 
@@ -43,8 +45,15 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@cache
+def _schema(path: str) -> T.StructType:
+    return read_parquet(SparkSession.active(), path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    """A test table. Its files never change, so its schema is looked up in them only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    return read_parquet(spark, path, _schema(path))
 
 
 UNKNOWN = "'TO BE DETERMINATED'"

@@ -179,7 +179,7 @@ def immigration_inputs(spark: SparkSession, sf_dir: str) -> immigration.Inputs:
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1960-01-01").cast("date")).cast("double")
     arrivals = lineitem.join(residents, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.year("l_shipdate").cast("double").alias("i94yr"),
-        F.month("l_shipdate").cast("double").alias("i94mon"),
+        F.quarter("l_shipdate").cast("double").alias("i94mon"),
         F.col("o_custkey").cast("double").alias("i94cit"),
         F.col("c_nationkey").cast("double").alias("i94res"),
         F.concat(F.lit("l"), F.col("l_suppkey").cast("string"), F.lit(" ")).alias("i94port"),

@@ -80,7 +80,9 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     """
     if schema is None:
         return spark.read.parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    table = spark.read.schema(schema).parquet(path)
+    # Partition columns come last, whatever their place in the schema.
+    return table if table.columns == schema.fieldNames() else table.select(*schema.fieldNames())
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
