@@ -65,8 +65,11 @@ def fanout_count(
     """
     facts = (
         fact.where(quoted(fact_key).isNotNull())
-        .groupBy(quoted(fact_key).alias("__key"))
+        # Grouped as a struct, so that the join shuffles by the plain key on both sides and
+        # adaptive execution may split a key with many groups.
+        .groupBy(F.struct(quoted(fact_key).alias("key")).alias("__fact"))
         .agg(F.count(F.lit(1)).alias("__facts"))
+        .select(F.col("__fact.key").alias("__key"), "__facts")
     )
     groups = {name: f"__by_{place}" for place, name in enumerate(by)}
     members = (

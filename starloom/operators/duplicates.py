@@ -19,6 +19,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(quoted(column)).distinct()
 
 
+def distinct_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The distinct values of a key as the build side of a join.
+
+    They are found as structs and taken out again. Were they found as plain values, the join
+    would take over their distribution over tasks, and adaptive execution, which only splits a
+    hot key of the other side where both sides are shuffled for the join itself, would have to
+    leave that key in one task.
+    """
+    return df.select(F.struct(quoted(key).alias("key")).alias("held")).distinct().select(F.col("held.key").alias(name))
+
+
 def one_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the lowest in the order of ``order``, NULL first.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.columns import conform, project, quoted
-from starloom.operators.duplicates import one_row_per_key
+from starloom.operators.duplicates import distinct_keys, one_row_per_key
 from starloom.operators.filters import keep_not_null
 
 
@@ -20,7 +20,7 @@ def without_match(candidates: DataFrame, dimension: DataFrame, key: str, dimensi
     The dimension is reduced to its distinct keys before the shuffle, so its width and its
     repetitions do not travel.
     """
-    held = dimension.select(quoted(dimension_key or key).alias("__held")).distinct()
+    held = distinct_keys(dimension, dimension_key or key, "__held")
     return candidates.join(held, quoted(key) == F.col("__held"), "left_anti")
 
 

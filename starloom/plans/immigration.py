@@ -16,6 +16,7 @@ from starloom.functions.text import LABEL_TEXT, nth_part, nth_part_as_double
 from starloom.operators.aggregates import fanout_topk
 from starloom.operators.checks import row_count_check
 from starloom.operators.columns import cast_to_schema, rename_all, standardise_strings
+from starloom.operators.duplicates import distinct_keys
 from starloom.operators.joins import Link, missing_members, star_join
 from starloom.operators.place_labels import split_place_label
 from starloom.plans.dimensions import build_dimension, build_lookup
@@ -135,7 +136,7 @@ def fact_links(dimensions: Mapping[str, DataFrame]) -> list[Link]:
         Link(dimensions["airport"], "i94port", "local_code", "prt"),
         Link(dimensions["mode"], "i94mode", "code", "arrvl_md"),
         # Cities repeat their state code: each code is taken once.
-        Link(dimensions["city"].select("state_code").distinct(), "i94addr", "state_code", "us_stt"),
+        Link(distinct_keys(dimensions["city"], "state_code", "state_code"), "i94addr", "state_code", "us_stt"),
         Link(dimensions["visa"], "i94visa", "Code", "vs_typ_id"),
     ]
 
