@@ -51,22 +51,28 @@ def blank_unknowns(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
     """Replace what the markers of ``standard`` declare unknown.
 
     Written to be linear in the text: a line is searched for line markers once, from its start,
-    instead of again from each of its characters, and texts without any marker (nearly all) only
-    pay for substring searches and never reach the regular expression.
+    instead of again from each of its characters. Texts without any marker (nearly all) only pay
+    for substring searches and never reach a regular expression, the others only for the
+    expression of the markers they hold.
     """
-    markers = standard.line_markers + standard.tail_markers
-    if not markers:
-        return text
-    branches = []
-    if standard.line_markers:
-        branches.append(f"^.*(?:{_any_of(standard.line_markers)}).*")
-    if standard.tail_markers:
-        branches.append(f"(?:{_any_of(standard.tail_markers)}).*")
+    whole_line = f"^.*(?:{_any_of(standard.line_markers)}).*"
+    tail_of_line = f"(?:{_any_of(standard.tail_markers)}).*"
     flags = "(?md)" if standard.newline_only else "(?m)"
-    replacement = standard.unknown.replace("\\", "\\\\").replace("$", "\\$")
-    marked = reduce(or_, [text.contains(F.lit(marker)) for marker in markers])
-    replaced = F.regexp_replace(text, F.lit(flags + "|".join(branches)), F.lit(replacement))
-    return F.when(marked, replaced).otherwise(text)
+    unknown = standard.unknown.replace("\\", "\\\\").replace("$", "\\$")
+
+    def replaced(*patterns: str) -> Column:
+        return F.regexp_replace(text, F.lit(flags + "|".join(patterns)), F.lit(unknown))
+
+    by_line, by_tail = _holds_any(text, standard.line_markers), _holds_any(text, standard.tail_markers)
+    return (
+        F.when(by_line, F.when(by_tail, replaced(whole_line, tail_of_line)).otherwise(replaced(whole_line)))
+        .when(by_tail, replaced(tail_of_line))
+        .otherwise(text)
+    )
+
+
+def _holds_any(text: Column, markers: tuple[str, ...]) -> Column:
+    return reduce(or_, [text.contains(F.lit(marker)) for marker in markers], F.lit(False))
 
 
 def _any_of(markers: tuple[str, ...]) -> str:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,74 +87,106 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accurac
     first passes take the plain measures and, from a sketch of bounded size, two values around
     each quartile. Another counts the rows below them, which proves that the quartile lies
     between (if it ever does not, the minimum and maximum of the column take their place). Each
-    of these passes brings one row to the driver. The returned table then orders only the
-    distinct values in between, 16 / ``accuracy`` of the rows or less per quartile.
+    of these passes brings one row to the driver. Where the two values are equal the quartile is
+    found; for the others the returned table orders only the distinct values in between,
+    16 / ``accuracy`` of the rows or less per quartile.
     """
     if columns is None:
         columns = [field.name for field in df.schema if isinstance(field.dataType, T.NumericType)]
-    margin = 4.0 / accuracy
-    shares = [min(max(share + side * margin, 0.0), 1.0) for share in QUARTILES.values() for side in (-1, 1)]
     plain = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     values = {name: _known(df.schema[name]) for name in columns}
     first = df.agg(
         *(measure(values[name]).alias(f"{name}|{key}") for name in columns for key, measure in plain.items())
     ).first()
-    filled = [name for name in columns if first[f"{name}|n"]]
-    # On its own: next to the sketch, Spark would take the plain measures out of generated code.
-    sketch = df.agg(*(F.percentile_approx(values[name], shares, accuracy).alias(name) for name in columns)).first()
-
-    brackets = []
-    for name in filled:
-        for place, (quartile, share) in enumerate(QUARTILES.items()):
-            target = share * (first[f"{name}|n"] - 1)
-            low, high = sketch[name][2 * place : 2 * place + 2]
-            brackets.append([name, quartile, low, high, int(target), math.ceil(target), target % 1])
-    if brackets:
-        second = df.agg(
-            *(F.count_if(values[b[0]] < b[2]).alias(f"under{place}") for place, b in enumerate(brackets)),
-            *(F.count_if(values[b[0]] <= b[3]).alias(f"upto{place}") for place, b in enumerate(brackets)),
-        ).first()
-        for place, bracket in enumerate(brackets):
-            under = second[f"under{place}"]
-            if under > bracket[4] or second[f"upto{place}"] <= bracket[5]:
-                bracket[2], bracket[3], under = first[f"{bracket[0]}|min"], first[f"{bracket[0]}|max"], 0
-            bracket.append(under)
-
+    brackets = _brackets(df, values, first, accuracy)
+    found = {(b.column, b.quartile): b.low for b in brackets if b.low == b.high}
     measures = df.sparkSession.range(1).select(
         F.inline(
             F.array(
                 *(
                     F.struct(
                         F.lit(name).alias("column_name"),
+                        F.lit(first[f"{name}|n"]).cast("long").alias("n"),
                         *(
-                            F.lit(first[f"{name}|{key}"]).cast("long" if key == "n" else "double").alias(key)
-                            for key in plain
+                            F.lit(first[f"{name}|{key}"]).cast("double").alias(key)
+                            for key in ("mean", "std", "min", "max")
                         ),
+                        *(F.lit(found.get((name, key))).cast("double").alias(key) for key in QUARTILES),
                     )
                     for name in columns
                 )
             )
         )
     )
+    order = ["column_name", "n", "mean", "std", "min", *QUARTILES, "max"]
+    brackets = [b for b in brackets if b.low != b.high]
     if not brackets:
-        return measures.select(
-            "column_name", "n", "mean", "std", "min", *(F.lit(None).cast("double").alias(q) for q in QUARTILES), "max"
-        )
+        return measures.select(*order)
     # Bounded by the number of columns.
-    quartiles = F.broadcast(_quartiles(df, values, brackets))
-    return measures.join(quartiles, "column_name", "left").select(
-        "column_name", "n", "mean", "std", "min", *QUARTILES, "max"
+    searched = F.broadcast(_quartiles(df, values, brackets)).select(
+        F.col("column_name"), *(F.col(key).alias(f"searched_{key}") for key in QUARTILES)
+    )
+    return (
+        measures.join(searched, "column_name", "left")
+        .withColumns({key: F.coalesce(key, f"searched_{key}") for key in QUARTILES})
+        .select(*order)
     )
 
 
-def _quartiles(df: DataFrame, values: Mapping[str, Column], brackets: Sequence[Sequence]) -> DataFrame:
+@dataclass
+class _Bracket:
+    """Two values with a quartile between them: it lies between the ranks ``below`` and
+    ``above``, counted from 0, and ``offset`` rows are under ``low``."""
+
+    column: str
+    quartile: str
+    low: float
+    high: float
+    below: int
+    above: int
+    fraction: float
+    offset: int = 0
+
+
+def _brackets(df: DataFrame, values: Mapping[str, Column], first: Row, accuracy: int) -> list[_Bracket]:
+    """A bracket for each quartile of each column that has values."""
+    margin = 4.0 / accuracy
+    shares = [min(max(share + side * margin, 0.0), 1.0) for share in QUARTILES.values() for side in (-1, 1)]
+    filled = [name for name in values if first[f"{name}|n"]]
+    if not filled:
+        return []
+    # On its own: next to the sketch, Spark would take the plain measures out of generated code.
+    sketch = df.agg(*(F.percentile_approx(values[name], shares, accuracy).alias(name) for name in filled)).first()
+    brackets = []
+    for name in filled:
+        for place, (quartile, share) in enumerate(QUARTILES.items()):
+            target = share * (first[f"{name}|n"] - 1)
+            low, high = sketch[name][2 * place : 2 * place + 2]
+            brackets.append(_Bracket(name, quartile, low, high, int(target), math.ceil(target), target % 1))
+    counted = df.agg(
+        *(F.count_if(values[b.column] < b.low).alias(f"under{place}") for place, b in enumerate(brackets)),
+        *(F.count_if(values[b.column] <= b.high).alias(f"upto{place}") for place, b in enumerate(brackets)),
+    ).first()
+    for place, b in enumerate(brackets):
+        if counted[f"under{place}"] <= b.below and counted[f"upto{place}"] > b.above:
+            b.offset = counted[f"under{place}"]
+        else:
+            b.low, b.high = first[f"{b.column}|min"], first[f"{b.column}|max"]
+    return brackets
+
+
+def _quartiles(df: DataFrame, values: Mapping[str, Column], brackets: Sequence[_Bracket]) -> DataFrame:
     """A row per column with its interpolated quartiles, from the values inside the brackets."""
-    inside = [values[b[0]].between(b[2], b[3]) for b in brackets]
+    inside = [values[b.column].between(b.low, b.high) for b in brackets]
     about = ["column_name", "quartile", "below", "above", "fraction", "offset"]
     entries = [
         F.struct(
-            *(F.lit(known).alias(name) for name, known in zip(about, (b[0], b[1], *b[4:]), strict=True)),
-            F.when(is_inside, values[b[0]]).alias("value"),
+            F.lit(b.column).alias("column_name"),
+            F.lit(b.quartile).alias("quartile"),
+            *(F.lit(rank).cast("long").alias(name) for name, rank in (("below", b.below), ("above", b.above))),
+            F.lit(b.fraction).alias("fraction"),
+            F.lit(b.offset).cast("long").alias("offset"),
+            F.when(is_inside, values[b.column]).alias("value"),
         )
         for b, is_inside in zip(brackets, inside, strict=True)
     ]

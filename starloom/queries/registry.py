@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starloom.sources.readers import read_parquet
+from starloom.values import LINE_MARKERS, TAIL_MARKERS, UNKNOWN_TEXT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, path, _schema(path))
 
 
-UNKNOWN = "'TO BE DETERMINATED'"
+UNKNOWN = f"'{UNKNOWN_TEXT}'"
 WHITESPACE = " || ".join(f"chr({point})" for point in range(0x3001) if chr(point).isspace())
 
 
@@ -65,10 +66,11 @@ def sql_upper(text: str) -> str:
     return f"upper(replace({text}, 'ß', 'SS'))"
 
 
+MARKED = "|".join([f".*{marker}.*" for marker in LINE_MARKERS] + [f"{marker}.*" for marker in TAIL_MARKERS])
+
+
 def sql_collapsed(text: str) -> str:
-    return (
-        f"regexp_replace({text}, '.*UNKNOWN.*|.*NO PORT.*|INVALID.*|COLLAPSED.*|NO COUNTRY.*', {UNKNOWN}, 'g')"
-    )
+    return f"regexp_replace({text}, '{MARKED}', {UNKNOWN}, 'g')"
 
 
 def sql_bare(text: str) -> str:

@@ -8,12 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
+# What one task of a shuffle should get to see; it sorts and spills comfortably in a usual executor.
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "starloom", master: str | None = None, largest_shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with adaptive execution and skew-join splitting on.
 
-    Nothing here is tied to a machine size: shuffle partition counts start high and adaptive
-    execution merges them, so the same settings serve a laptop and a large cluster. Pass
-    ``conf`` entries with dots written as double underscores to override any of them.
+    ``largest_shuffle_bytes`` is a guess at the biggest shuffle of the job. Its tasks are cut to
+    some 256 MB each, and adaptive execution merges what turns out smaller, so that a guess too
+    high costs little and one too low shows as spilling. Pass further settings with dots written
+    as double underscores; they override those made here.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -22,6 +29,9 @@ def build_session(app_name: str = "starloom", master: str | None = None, **conf:
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+    if largest_shuffle_bytes is not None:
+        tasks = min(max(largest_shuffle_bytes // SHUFFLE_TASK_BYTES, 200), 100_000)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(tasks)
     settings.update({name.replace("__", "."): str(value) for name, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -209,3 +209,14 @@ def test_dimension_reads_columns_once_filtered(spark):
     df = spark.createDataFrame([("us", "US-CA", math.pi), ("ca", "CA-ON", 1.0)], "c string, r string, x double")
     found = build_dimension(df, where=F.upper("c") == "US", columns={"place": "r", "x": "x"})
     assert values(found) == [("USCA", math.pi)]
+
+
+def test_command_line(spark, inputs, tmp_path, capsys):
+    from starloom.__main__ import main
+
+    names = ("airports", "cities", "countries", "ports", "modes", "states", "visas", "arrivals")
+    paths = [part for name in names for part in (f"--{name}", getattr(inputs, name))]
+    assert main([*paths, "--output", str(tmp_path / "tables"), "--directory-per-airport", "--unique-dimensions"]) == 0
+    printed = capsys.readouterr().out
+    assert "ok     fact_immigration: 4 rows" in printed
+    assert "GUAM" in printed
