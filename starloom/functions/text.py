@@ -51,36 +51,30 @@ def blank_unknowns(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
     """Replace what the markers of ``standard`` declare unknown.
 
     Written to be linear in the text: a line is searched for line markers once, from its start,
-    instead of again from each of its characters. Texts without any marker (nearly all) only pay
-    for substring searches and never reach a regular expression, the others only for the
-    expression of the markers they hold.
+    instead of again from each of its characters, and texts without any marker (nearly all) only
+    pay for substring searches and never reach the regular expression. There is a single such
+    expression, because generated code that holds several for each of many columns outgrows what
+    the JVM compiles.
     """
-    whole_line = f"^.*(?:{_any_of(standard.line_markers)}).*"
-    tail_of_line = f"(?:{_any_of(standard.tail_markers)}).*"
-    flags = "(?md)" if standard.newline_only else "(?m)"
+    branches = []
+    if standard.line_markers:
+        branches.append(f"^.*(?:{_any_of(standard.line_markers)}).*")
+    if standard.tail_markers:
+        branches.append(f"(?:{_any_of(standard.tail_markers)}).*")
+    if not branches:
+        return text
+    pattern = ("(?md)" if standard.newline_only else "(?m)") + "|".join(branches)
     unknown = standard.unknown.replace("\\", "\\\\").replace("$", "\\$")
-
-    def replaced(*patterns: str) -> Column:
-        return F.regexp_replace(text, F.lit(flags + "|".join(patterns)), F.lit(unknown))
-
-    by_line, by_tail = _holds_any(text, standard.line_markers), _holds_any(text, standard.tail_markers)
-    return (
-        F.when(by_line, F.when(by_tail, replaced(whole_line, tail_of_line)).otherwise(replaced(whole_line)))
-        .when(by_tail, replaced(tail_of_line))
-        .otherwise(text)
-    )
-
-
-def _holds_any(text: Column, markers: tuple[str, ...]) -> Column:
-    return reduce(or_, [text.contains(F.lit(marker)) for marker in markers], F.lit(False))
+    marked = reduce(or_, [text.contains(F.lit(marker)) for marker in standard.line_markers + standard.tail_markers])
+    return F.when(marked, F.regexp_replace(text, F.lit(pattern), F.lit(unknown))).otherwise(text)
 
 
 def _any_of(markers: tuple[str, ...]) -> str:
     return "|".join(f"\\Q{marker}\\E" for marker in markers)
 
 
-def standardise(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
-    """Strip, upper-case, remove punctuation, replace unknowns and, if asked, fill NULL."""
+def bare_text(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
+    """The first half of ``standardise``: strip, upper-case, remove punctuation."""
     if standard.strip == "whitespace":
         bare = F.upper(strip_whitespace(text))
     elif standard.strip == "space":
@@ -89,10 +83,24 @@ def standardise(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
         raise ValueError(f"unknown strip mode: {standard.strip!r}")
     for character in standard.removed:
         bare = F.replace(bare, F.lit(character), F.lit(""))
+    return bare
+
+
+def known_text(bare: Column, standard: TextStandard = TABLE_TEXT) -> Column:
+    """The second half of ``standardise``: replace unknowns and, if asked, fill NULL."""
     clean = blank_unknowns(bare, standard)
     return F.coalesce(clean, F.lit(standard.unknown)) if standard.fill_null else clean
 
 
+def standardise(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
+    """Strip, upper-case, remove punctuation, replace unknowns and, if asked, fill NULL.
+
+    For many columns of a table at once use ``standardise_strings``, whose generated code is
+    smaller.
+    """
+    return known_text(bare_text(text, standard), standard)
+
+
 def nth_part(text: Column, separator_pattern: str, n: int) -> Column:
     """Part ``n`` (from 0) of a split text, NULL where there are fewer parts.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starloom.operators.aggregates import fanout_count
 from starloom.operators.duplicates import one_row_per_key
 from starloom.operators.joins import Link, star_join, without_match
+from starloom.plans.facts import clean_fact_source
 from starloom.queries import QUERIES
 from tests.conftest import final_plan_of, plan_of, values
 
@@ -128,3 +129,10 @@ def test_a_hot_key_of_the_dimension_is_split_in_the_fanout(hot, splitting):
     df = fanout_count(fact, members, "k", "d", ["g"], "g")
     assert "skew=true" in final_plan_of(df)
     assert df.agg(F.sum("n")).first()[0] == fact.groupBy("k").count().agg(F.sum(F.col("count") ** 2)).first()[0]
+
+
+def test_an_analysis_of_cleaned_arrivals_reads_one_column(spark, tmp_path):
+    names = [f"s{i}" for i in range(9)]
+    spark.range(5).select("id", *(F.lit("a").alias(name) for name in names)).write.parquet(str(tmp_path / "t"))
+    cleaned = clean_fact_source(spark.read.parquet(str(tmp_path / "t")))
+    assert "ReadSchema: struct<s3:string>" in plan_of(cleaned.groupBy("s3").count())

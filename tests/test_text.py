@@ -18,7 +18,7 @@ from starloom.functions import (
 )
 from starloom.operators.columns import standardise_strings
 from starloom.values import LINE_MARKERS, TAIL_MARKERS
-from tests.conftest import UNKNOWN, values
+from tests.conftest import UNKNOWN, plan_of, values
 
 
 def clean(spark, texts, standard):
@@ -128,3 +128,16 @@ def test_nth_part_as_double(spark):
     df = spark.createDataFrame([("40.1, -74.9",), ("x, 1",), ("2",)], "t string")
     parts = [nth_part_as_double(F.col("t"), ",", n) for n in (0, 1)]
     assert values(df.select(*parts)) == [(40.1, -74.9), (None, 1.0), (2.0, None)]
+
+
+def test_many_columns_at_once(spark):
+    row = [" a.b", None, "x\nno port\ny", "it's", "1-2", " c ", "invalid", "ok"]
+    df = spark.createDataFrame([(1, *row)], "n int, " + ", ".join(f"`t.{i}` string" for i in range(8)))
+    together, one_by_one = standardise_strings(df, all_wanted=True), standardise_strings(df)
+    assert "transform" in plan_of(together)
+    assert "transform" not in plan_of(one_by_one)
+    assert values(together) == values(one_by_one)
+    assert values(together) == [(1, "AB", UNKNOWN, f"X\n{UNKNOWN}\nY", "ITS", "12", "C", UNKNOWN, "OK")]
+    assert together.columns == df.columns
+    kept = standardise_strings(df, LABEL_TEXT, all_wanted=True)
+    assert values(kept.select("`t.1`", "n")) == [(None, 1)]
