@@ -28,9 +28,6 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # The JVM never compiles a method beyond 8000 bytes. Generated code for projections that
-        # wide then runs interpreted; with this limit Spark splits it into small methods instead.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     if largest_shuffle_bytes is not None:
         tasks = min(max(largest_shuffle_bytes // SHUFFLE_TASK_BYTES, 200), 100_000)
