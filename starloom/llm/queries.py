@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import read_table
+from starloom.llm.decontamination import benchmark_hits
 from starloom.llm.mixing import mix
 from starloom.llm.sharding import minimax_shards
 from starloom.llm.token_counts import token_counts
@@ -53,3 +54,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(write_ids(spark, read_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return benchmark_hits(spark, docs, benchmark).drop("spans")
