@@ -79,7 +79,7 @@ def original_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     """Where runs of hit words stand in the original text, as byte offsets in UTF-8."""
     spans: list[tuple[int, int]] = []
     joined = False
-    for word, inside in zip(_WORD.finditer(text.encode()), hit, strict=True):
+    for word, inside in zip(_WORD.finditer(text.encode().lower()), hit, strict=True):
         if inside and joined:
             spans[-1] = (spans[-1][0], word.end())
         elif inside:
