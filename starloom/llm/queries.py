@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
 from starloom.llm.mixing import mix
+from starloom.llm.quality import resample
 from starloom.llm.sharding import minimax_shards
 from starloom.llm.token_counts import token_counts
 from starloom.llm.token_files import read_digests, write_ids
@@ -60,3 +61,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return benchmark_hits(spark, docs, benchmark).drop("spans")
+
+
+@query
+def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return resample(spark, docs, labels, columns=["doc_id"])
