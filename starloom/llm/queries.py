@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
+from starloom.llm.jaccard import jaccard_components
 from starloom.llm.mixing import mix
 from starloom.llm.quality import resample
 from starloom.llm.sharding import minimax_shards
@@ -67,3 +68,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return resample(spark, docs, labels, columns=["doc_id"])
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark, read_table(spark, sf_dir, "documents"))
