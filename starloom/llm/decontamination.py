@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.common import ship_package
 
@@ -128,11 +129,11 @@ def _scan(shared: list[_Shared]):
                 for t, h, found in zip(texts, hit, items, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"]]
+                [batch["id"], batch["passed"]]
                 + [pa.array([f(x) for x in column], pa.int64()) for f, column in ((len, words), (np.sum, hit), (len, items))]
                 + [pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string())]
                 + [pa.array(spans, _SPAN)],
-                ["id", "n_words", "n_hit", "n_items", "items_sha256", "spans"],
+                ["id", "passed", "n_words", "n_hit", "n_items", "items_sha256", "spans"],
             )
 
     return scan
@@ -147,10 +148,12 @@ def benchmark_hits(
     item_column: str = "item_id",
     item_text: str = "text",
     size: int = 10,
+    passed: list[str] | None = None,
 ) -> DataFrame:
     """For each row of ``docs`` its id, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``spans``, ``contaminated``.
 
-    ``spans`` are the byte offsets of hit passages in the original text. NULL and empty texts
+    ``spans`` are the byte offsets of hit passages in the original text. Columns named in
+    ``passed`` come along in a struct of that name. NULL and empty texts
     have no words and no hits; items without words or without id match nothing; repeated rows and
     items change nothing; further columns are ignored; an empty benchmark leaves all clean.
     """
@@ -166,10 +169,12 @@ def benchmark_hits(
         windows = windows_of([tuple(row) for row in part.collect()], size)
         name = hashlib.sha256(repr(sorted(windows.items())).encode()).hexdigest()
         shared.append(_Shared(spark.sparkContext.broadcast(windows), name))
-    id_type = docs.schema[id_column].dataType.simpleString()
-    found = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(
-        _scan(shared),
-        f"id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, "
-        "spans array<struct<begin long, end long>>",
-    )
-    return found.withColumnRenamed("id", id_column).withColumn("contaminated", F.col("n_hit") > 0)
+    along = F.struct(*[F.col(f"`{name}`") for name in passed]) if passed else F.lit(None).cast("struct<none: int>")
+    rows = docs.select(F.col(id_column).alias("id"), along.alias("passed"), F.col(text).alias("text"))
+    schema = T.StructType([*rows.drop("text").schema.fields])
+    for name in ("n_words", "n_hit", "n_items"):
+        schema = schema.add(name, "long")
+    schema = schema.add("items_sha256", "string").add("spans", T.ArrayType(T.StructType().add("begin", "long").add("end", "long")))
+    found = rows.mapInArrow(_scan(shared), schema)
+    found = found.withColumnRenamed("id", id_column).withColumn("contaminated", F.col("n_hit") > 0)
+    return found if passed else found.drop("passed")
