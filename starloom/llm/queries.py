@@ -11,6 +11,7 @@ from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
 from starloom.llm.jaccard import jaccard_components
 from starloom.llm.mixing import mix
+from starloom.llm.permutation_index import nearest
 from starloom.llm.quality import resample
 from starloom.llm.sharding import minimax_shards
 from starloom.llm.token_counts import token_counts
@@ -73,3 +74,8 @@ def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
