@@ -12,8 +12,9 @@ are compared.
    with any other is done: under each order its prefix consists of tokens of its own.
 2. What remains is posted under the prefix tokens of the first order. Within a token's list, not
    all pairs are tried: in each turn the members are compared with one hub of the list, and what
-   links joins a component. Members of one component need no comparison. When few pairs of
-   different components are left, or a turn joins nothing, all of these are compared.
+   links joins a component. Members of one component need no comparison, nor do those of which
+   too few shared tokens are left in the list's order. When a turn joins little, all remaining
+   pairs of different components are compared.
 
 Equal sets count as one until the end. Tokens are 48-bit hashes and sets are named by 64-bit
 hashes, which makes a wrong count a matter of one pair in many millions.
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import saved, ship_package
@@ -35,6 +36,9 @@ from starloom.llm.components import merge_components
 #: Bits of a token, and bytes of text for which one block of tokens is counted at a time.
 TOKEN_BITS, PART_BYTES = 48, 8 << 20
 
+#: Another turn with hubs is taken if the last one left no more than this part of the components.
+WORTH_A_TURN = 0.9
+
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -209,7 +213,7 @@ def _gather(percent: int):
                     tokens = _unpack(np.ascontiguousarray(one["token"]).tobytes())
                     order = np.argsort(tokens)
                     out.append(
-                        {"node": int(one["node"][0]), "n": int(one["n"][0]), "centre": -float(one["rarity"].mean())}
+                        {"node": int(one["node"][0]), "n": int(one["n"][0]), "centre": -len(one) / int(one["n"][0])}
                         | {"rarity": one["rarity"][order].tobytes(), "tokens": _pack(tokens[order])}
                     )
                 if len(out) >= 256:
@@ -242,9 +246,10 @@ def _post(percent: int):
                         pa.array(first.astype(np.int64)),
                         pa.array(np.full(k, row["node"], np.int64)),
                         pa.array(np.full(k, row["n"], np.int64)),
+                        pa.array(len(row["tokens"]) // 6 - np.arange(k)),
                         pa.array(np.full(k, row["centre"])),
                     ],
-                    ["token", "node", "n", "centre"],
+                    ["token", "node", "n", "rest", "centre"],
                 )
 
     return post
@@ -277,17 +282,26 @@ def _compared(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: i
     return saved(spark, both.mapInArrow(_verify(percent, orders), "a long, b long"), "links")
 
 
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two members of a list can still link if its token is their first common one.
+
+    ``rest`` shared tokens stand from here on. A pair for which this isn't the first common token
+    has been let through by an earlier one, or can't link at all.
+    """
+    sizes = F.col(f"{a}n") + F.col(f"{b}n")
+    return F.least(f"{a}rest", f"{b}rest") * (100 + percent) >= sizes * percent
+
+
 def _pairs_with_hub(spark: SparkSession, posts: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members of lists with several components, each with the hub of its list; and the hubs."""
     now = posts.join(labels, "node")
     hubs = now.groupBy("token").agg(
-        F.min(F.struct("centre", "node", "n", "label")).alias("hub"), F.min("label").alias("l"), F.max("label").alias("h")
+        F.min(F.struct("centre", "node", "n", "rest", "label")).alias("hub"), F.min("label").alias("l"), F.max("label").alias("h")
     )
     hubs = saved(spark, hubs.where("l < h").select("token", "hub"), "hubs")
     pairs = (
         now.join(hubs, "token")
-        .where("label <> hub.label")
-        .where((F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent))
+        .where((F.col("label") != F.col("hub.label")) & _may_link("", "hub.", percent))
         .select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
         .distinct()
     )
@@ -295,26 +309,19 @@ def _pairs_with_hub(spark: SparkSession, posts: DataFrame, labels: DataFrame, pe
 
 
 def _pairs_across(spark: SparkSession, posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list that are in different components: the last resort, and the exact one."""
+    """All pairs of a list that are in different components and may link."""
     now = posts.join(labels, "node")
     mixed = now.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("token")
-    now = saved(spark, now.join(mixed, "token", "left_semi"), "open-posts")
-    other = now.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    pairs = (
-        now.join(other, "token")
-        .where((F.col("node") < F.col("b")) & (F.col("label") != F.col("label_b")))
-        .where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
+    now = saved(spark, now.join(mixed, "token", "left_semi").drop("centre"), "open-posts")
+    other = now.select("token", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "rest", "label")])
+    pairs = now.join(other, "token").where(
+        (F.col("node") < F.col("b_node")) & (F.col("label") != F.col("b_label")) & _may_link("", "b_", percent)
     )
-    return saved(spark, pairs.select(F.col("node").alias("a"), "b").distinct(), "cross-pairs")
+    return saved(spark, pairs.select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct(), "cross-pairs")
 
 
-def _open_pairs(posts: DataFrame, labels: DataFrame) -> int:
-    """How many pairs of different components the lists hold."""
-    sizes = posts.join(labels, "node").groupBy("token", "label").count()
-    lists = sizes.groupBy("token").agg(
-        ((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))) / 2).alias("pairs")
-    )
-    return int(lists.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
+def _count_components(labels: DataFrame) -> int:
+    return labels.where("node = label").count()
 
 
 def jaccard_components(
@@ -345,24 +352,22 @@ def jaccard_components(
     sets = shared.mapInArrow(_gather(percent), "node long, n long, centre double, rarity binary, tokens binary")
     sets = saved(spark, sets, "shared-sets")
     posts = sets.select("node", "n", "rarity", "tokens", "centre").mapInArrow(
-        _post(percent), "token long, node long, n long, centre double"
+        _post(percent), "token long, node long, n long, rest long, centre double"
     )
     posts = saved(spark, posts, "posts")
     labels = saved(spark, sets.select("node", F.col("node").alias("label")), "labels")
-    n_posts = posts.count()
-    left = _open_pairs(posts, labels)
-    while left > n_posts:
+    many = _count_components(labels)
+    while many:
         pairs, hubs = _pairs_with_hub(spark, posts, labels, percent)
         labels = merge_components(spark, labels, _compared(spark, pairs, sets, percent, orders))
         # A hub has been compared with all of its list.
         done = hubs.select("token", F.col("hub.node").alias("node"))
         posts = saved(spark, posts.join(done, ["token", "node"], "left_anti"), "posts")
-        before, left = left, _open_pairs(posts, labels)
-        if left > 0.9 * before:
+        before, many = many, _count_components(labels)
+        if many > WORTH_A_TURN * before:
             break
-    if left:
-        pairs = _pairs_across(spark, posts, labels, percent)
-        labels = merge_components(spark, labels, _compared(spark, pairs, sets, percent, orders))
+    pairs = _pairs_across(spark, posts, labels, percent)
+    labels = merge_components(spark, labels, _compared(spark, pairs, sets, percent, orders))
     # From sets to documents: a set, then a component, is reduced to its smallest id.
     firsts = named.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
