@@ -115,8 +115,8 @@ def nearest(
     id_column: str = "vec_id",
     vector: str = "embedding",
     pivots: int = 128,
-    part: float = 0.05,
-    least: int = 128,
+    part: float = 0.15,
+    least: int = 256,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found of each query.
 
