@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
+from starloom.llm.hpylm import score_texts
 from starloom.llm.jaccard import jaccard_components
 from starloom.llm.mixing import mix
 from starloom.llm.permutation_index import nearest
@@ -79,3 +80,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(spark, read_table(spark, sf_dir, "documents"))
