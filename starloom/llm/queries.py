@@ -11,6 +11,7 @@ from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
 from starloom.llm.hpylm import score_texts
 from starloom.llm.jaccard import jaccard_components
+from starloom.llm.licenses import license_scan
 from starloom.llm.mixing import mix
 from starloom.llm.permutation_index import nearest
 from starloom.llm.quality import resample
@@ -85,3 +86,13 @@ def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(spark, read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: source, language and thousand stand for directories.
+
+    Every 50th document stands for a licence file of its directory.
+    """
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    return license_scan(spark, read_table(spark, sf_dir, "documents"), path, F.col("doc_id") % 50 == 0)
