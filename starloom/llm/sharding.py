@@ -62,14 +62,18 @@ class Places:
 
     def split(self, ranges: Ranges) -> None:
         """Look closer at all bins that meet the ranges."""
-        met = [(f, last) for f, last in self.bins if f < last and any(f <= b and last >= a for a, b in ranges)]
         merged: Ranges = []
-        for first, last in met:
-            if merged and first - merged[-1][1] <= (last - first):
-                merged[-1] = (merged[-1][0], last)
+        for low, high in sorted(ranges):
+            begin = bisect_left(self._last, low)
+            end = min(bisect_right(self._first, high), len(self.bins) - 1) - 1  # the last bin is the end itself
+            if begin > end:
+                continue
+            low, high = self.bins[begin][0], self.bins[end][1]
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
             else:
-                merged.append((first, last))
-        # The cuts bound how many ranges meet; all are asked for in one pass.
+                merged.append((low, high))
+        # There are a few ranges for each shard, and all are asked for in one pass.
         width = max(1, -(-sum(b - a + 1 for a, b in merged) // BINS))
         rest = [x for x in self.bins if not any(a <= x[0] <= b for a, b in merged)]
         self._take(rest + self._look(merged, width))
@@ -171,8 +175,8 @@ def minimax_shards(
 
         def look(ranges: Ranges, width: int) -> list[tuple[int, int]]:
             inside = reduce(Column.__or__, [F.col("start").between(a, b) for a, b in ranges])
-            # Floor division keeps a bin within a width; ranges apart by less stay sorted.
-            bins = groups.where(inside).groupBy((F.col("start") / width).cast("long").alias("bin"))
+            number = reduce(Column.__add__, [(F.col("start") >= a).cast("int") for a, _ in ranges])
+            bins = groups.where(inside).groupBy(number.alias("range"), F.floor(F.col("start") / width).alias("bin"))
             found = bins.agg(F.min("start").alias("first"), F.max("start").alias("last")).collect()
             return [(row["first"], row["last"]) for row in found]
 
