@@ -121,7 +121,7 @@ def token_counts(
         encoded = saved(spark, encoded, "huge-chunks")
         following = encoded.select("row", (F.col("chunk") - 1).alias("chunk"), F.col("left").alias("next"))
         place = lambda edges: F.transform(edges, lambda e: F.struct(e["at"], e["around"]))
-        before = lambda edges: F.filter(edges, lambda e: e["at"] == F.col("shared.at"))[0]["before"]
+        before = lambda edges: F.get(F.filter(edges, lambda e: e["at"] == F.col("shared.at")), F.lit(0))["before"]
         spliced = (
             encoded.where(~F.col("last"))
             .join(following, ["row", "chunk"])
