@@ -43,13 +43,12 @@ class Places:
         first, last = self.bins[bisect_right(self._first, value) - 1]
         return (last, last) if last <= value else (first, value)
 
-    def first_from(self, value: int) -> int:
-        """A place not below the value; the first one if it is known."""
+    def first_from(self, value: int) -> tuple[int, int]:
+        """Bounds of the first place that is not below the value."""
         if value <= 0:
-            return 0
-        bin_ = bisect_left(self._last, value)
-        first, last = self.bins[bin_]
-        return first if first >= value else last
+            return 0, 0
+        first, last = self.bins[bisect_left(self._last, value)]
+        return (first, first) if first >= value else (value, last)
 
     def nearest(self, value: float, low: int, high: int) -> int:
         """The known place nearest to the value, from low to high; low is one."""
@@ -103,15 +102,16 @@ def minimax_cuts(places: Places, shards: int, largest: int, oversize: list[tuple
         low = max(largest, -(-places.end // shards))
         least, enough = places.least(shards, low, True), places.least(shards, low, False)
         timid, bold = places.walk(least, shards, False), places.walk(enough, shards, True)
-        latest = [places.end]  # where shards may begin so that the rest still fits, from behind
+        early, latest = [places.end], [places.end]  # where shards may begin so that the rest still fits
         for _ in range(shards):
-            latest.append(places.first_from(latest[-1] - enough))
+            early.append(places.first_from(early[-1] - enough)[0])
+            latest.append(places.first_from(latest[-1] - enough)[1])
         if least == enough and latest[-1] == 0:
             break
-        wide = 2 * max((b - a for a, b in places.bins), default=1)
+        # The bounds close in with every pass, and the bins between them get finer.
         places.split(
-            [(a - wide, b + wide) for a, b in zip(timid, [*bold, *[places.end] * len(timid)], strict=False)]
-            + [(place - wide * k, place + wide) for k, place in enumerate(latest)]
+            [(a, max(a, b)) for a, b in zip(timid, [*bold, *[places.end] * len(timid)], strict=False)]
+            + list(zip(early, latest, strict=True))
         )
     begin = latest[::-1]
     ends = [0]
