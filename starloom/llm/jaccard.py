@@ -275,7 +275,9 @@ def _verify(percent: int, orders: int):
 
 def _compared(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """The pairs (a, b) that link."""
-    side = lambda s: sets.select(
+    ends = saved(spark, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "paired-nodes")
+    paired = saved(spark, sets.drop("centre").join(ends, "node", "left_semi"), "paired-sets")
+    side = lambda s: paired.select(
         F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "rarity", "tokens")]
     )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
