@@ -30,7 +30,7 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
     }
     if largest_shuffle_bytes is not None:
-        tasks = min(max(largest_shuffle_bytes // SHUFFLE_TASK_BYTES, 200), 100_000)
+        tasks = max(1, -(-largest_shuffle_bytes // SHUFFLE_TASK_BYTES))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(tasks)
     settings.update({name.replace("__", "."): str(value) for name, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
