@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.columns import quoted
+from starloom.operators.keys import as_key, common_key_type
 
 
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:
@@ -63,11 +64,13 @@ def fanout_count(
     rows of a group then adds f * d. What is shuffled and joined grows with the number of
     distinct keys and groups, whatever share of the rows one key holds.
     """
+    fact_type, held_type = fact.schema[fact_key].dataType, dimension.schema[dimension_key].dataType
+    common = common_key_type(fact_type, held_type)
     facts = (
         fact.where(quoted(fact_key).isNotNull())
         # Grouped as a struct, so that the join shuffles by the plain key on both sides and
         # adaptive execution may split a key with many groups.
-        .groupBy(F.struct(quoted(fact_key).alias("key")).alias("__fact"))
+        .groupBy(F.struct(as_key(quoted(fact_key), fact_type, common).alias("key")).alias("__fact"))
         .agg(F.count(F.lit(1)).alias("__facts"))
         .select(F.col("__fact.key").alias("__key"), "__facts")
     )
@@ -75,7 +78,8 @@ def fanout_count(
     members = (
         dimension.where(quoted(dimension_key).isNotNull())
         .groupBy(
-            quoted(dimension_key).alias("__held"), *(quoted(column).alias(alias) for column, alias in groups.items())
+            as_key(quoted(dimension_key), held_type, common).alias("__held"),
+            *(quoted(column).alias(alias) for column, alias in groups.items()),
         )
         .agg(F.count(quoted(counted)).alias("__members"))
     )

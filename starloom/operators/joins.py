@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from starloom.operators.columns import conform, project, quoted
 from starloom.operators.duplicates import distinct_keys, one_row_per_key
 from starloom.operators.filters import keep_not_null
+from starloom.operators.keys import as_key, common_key_type
 
 
 def without_match(candidates: DataFrame, dimension: DataFrame, key: str, dimension_key: str | None = None) -> DataFrame:
@@ -20,8 +21,13 @@ def without_match(candidates: DataFrame, dimension: DataFrame, key: str, dimensi
     The dimension is reduced to its distinct keys before the shuffle, so its width and its
     repetitions do not travel.
     """
-    held = distinct_keys(dimension, dimension_key or key, "__held")
-    return candidates.join(held, quoted(key) == F.col("__held"), "left_anti")
+    held_key = dimension_key or key
+    held = distinct_keys(dimension, held_key, "__held")
+    common = common_key_type(candidates.schema[key].dataType, dimension.schema[held_key].dataType)
+    same = as_key(quoted(key), candidates.schema[key].dataType, common) == as_key(
+        F.col("__held"), dimension.schema[held_key].dataType, common
+    )
+    return candidates.join(held, same, "left_anti")
 
 
 def missing_members(
@@ -56,7 +62,8 @@ class Link:
 
     ``output`` names the joined key, in the type it has in the dimension. ``attributes`` maps
     further output names to dimension columns. ``unique`` states that the key occurs once in
-    the dimension; a link without attributes then only tests for existence.
+    the dimension; a link without attributes then only tests for existence (unless its text
+    stands for a number of the fact), and one with attributes is joined as it stands.
     """
 
     dimension: DataFrame
@@ -83,12 +90,17 @@ def star_join(
     columns: dict[str, Column] = {name: quoted(name) for name in fact.columns}
     joined = fact
     for number, link in enumerate(links):
-        fact_key, held_key, held_type = _aligned_keys(fact, link)
+        fact_type = fact.schema[link.fact_key].dataType
+        held_type = link.dimension.schema[link.dimension_key].dataType
+        common = common_key_type(fact_type, held_type)
+        fact_key = as_key(quoted(link.fact_key), fact_type, common)
+        held_key = as_key(quoted(link.dimension_key), held_type, common)
+        same_text = fact_type == held_type or not isinstance(held_type, T.StringType)
         probe = f"__key_{number}"
-        if (link.unique or unique_dimensions) and not link.attributes:
+        if (link.unique or unique_dimensions) and not link.attributes and same_text:
             held = link.dimension.select(held_key.alias(probe))
             joined = joined.join(held, fact_key == F.col(probe), "left_semi")
-            columns[link.output] = quoted(link.fact_key).cast(held_type)
+            columns[link.output] = as_key(quoted(link.fact_key), fact_type, held_type)
             continue
         carried = {f"__out_{number}_0": link.dimension_key}
         columns[link.output] = F.col(f"__out_{number}_0")
@@ -105,24 +117,3 @@ def star_join(
         joined,
         {name: columns.get(source, source) if isinstance(source, str) else source for name, source in projection.items()},
     )
-
-
-def _aligned_keys(fact: DataFrame, link: Link) -> tuple[Column, Column, T.DataType]:
-    """Both keys in one type, so that no conversion is left to the comparison."""
-    fact_type = fact.schema[link.fact_key].dataType
-    held_type = link.dimension.schema[link.dimension_key].dataType
-    fact_key, held_key = quoted(link.fact_key), quoted(link.dimension_key)
-    if fact_type == held_type:
-        return fact_key, held_key, held_type
-    both = (fact_type, held_type)
-    if all(isinstance(one, T.IntegralType) for one in both):
-        common: T.DataType = T.LongType()
-    elif all(isinstance(one, T.NumericType) for one in both):
-        common = T.DoubleType()
-    else:
-        common = T.StringType()
-    return (
-        fact_key if fact_type == common else fact_key.cast(common),
-        held_key if held_type == common else held_key.cast(common),
-        held_type,
-    )

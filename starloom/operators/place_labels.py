@@ -20,14 +20,16 @@ def split_place_label(
 ) -> DataFrame:
     """Replace a label column by a city and a state column, both standardised.
 
-    Up to three parts count. A second part of one or two characters, or one with a bracket, is
+    What follows the second comma is the third part, commas as blanks. A second part of one or two characters, or one with a bracket, is
     the state. A longer second part belongs to the city; then a short third part is the state,
     and a longer third part belongs to the city as well, which leaves the state unknown.
     """
     kept = [quoted(name) for name in df.columns if name != label]
     # Commas part the label, so they become bars before punctuation is removed.
     cleaned = standardise(F.replace(quoted(label), F.lit(","), F.lit("|")), standard)
-    parts = [F.coalesce(strip_whitespace(nth_part(F.col("__label"), "[|]", n)), F.lit(unknown)) for n in range(3)]
+    rest = F.regexp_replace(F.get(F.split(F.col("__label"), "[|]", 3), F.lit(2)), r"\s*[|][|\s]*", " ")
+    texts = [*(nth_part(F.col("__label"), "[|]", n) for n in range(2)), rest]
+    parts = [F.coalesce(strip_whitespace(text), F.lit(unknown)) for text in texts]
     split = df.select(*kept, cleaned.alias("__label")).select(
         *kept, *(part.alias(f"__part{n}") for n, part in enumerate(parts))
     )

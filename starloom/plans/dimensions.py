@@ -34,7 +34,7 @@ def build_dimension(
         raise ValueError(f"null_key is 'keep' or 'drop', not {null_key!r}")
     if where is not None:
         df = df.where(where)
-    if distinct:
+    if distinct and not key:  # one row per key leaves no copies
         df = df.distinct()
     if derive:
         df = df.withColumns(dict(derive))

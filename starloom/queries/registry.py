@@ -47,14 +47,14 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 @cache
-def _schema(path: str) -> T.StructType:
-    return read_parquet(SparkSession.active(), path).schema
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return read_parquet(spark, path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. Its files never change, so its schema is looked up in them only once."""
     path = f"{sf_dir}/{name}.parquet"
-    return read_parquet(spark, path, _schema(path))
+    return read_parquet(spark, path, _schema(spark, path))
 
 
 UNKNOWN = f"'{UNKNOWN_TEXT}'"

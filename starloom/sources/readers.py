@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,23 +50,39 @@ def read_label_list(
 ) -> DataFrame:
     """A list of ``code = 'label'`` lines with a header.
 
-    Padding around fields is dropped, single quotes stay data. ``types`` names the columns, by
-    their normalised header, that hold something other than text.
+    A line is parted at its first separator, so that a label may hold more of them. Padding
+    around fields is dropped, single quotes stay data. ``types`` names the columns, by their
+    normalised header, that hold something other than text; a text that is none of its type is
+    NULL, and ``rejected_labels`` has its row.
     """
-    lines = (
-        spark.read.option("sep", separator)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    table = normalise_headers(lines, lower_headers)
-    types = types or {}
+    table, types = _label_texts(spark, path, lower_headers, separator), types or {}
     return table.select(
         *(F.col(name).try_cast(types[name]).alias(name) if name in types else F.col(name) for name in table.columns)
     )
 
 
+def rejected_labels(
+    spark: SparkSession, path: str, types: Mapping[str, str], lower_headers: bool = False, separator: str = "="
+) -> DataFrame:
+    """The rows, as text, of which ``read_label_list`` with the same ``types`` makes some text NULL."""
+    failed = [F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull() for name, kind in types.items()]
+    return _label_texts(spark, path, lower_headers, separator).where(reduce(or_, failed, F.lit(False)))
+
+
+# A control character that ends no field: every line is one.
+_NO_SEPARATOR = "\x01"
+
+
+def _label_texts(spark: SparkSession, path: str, lower_headers: bool, separator: str) -> DataFrame:
+    """Both sides of the first separator of each line without padding, NULL where empty."""
+    lines = spark.read.option("sep", _NO_SEPARATOR).option("quote", "").option("header", True).csv(path)
+    header = lines.columns[0]
+    line = F.col("`" + header.replace("`", "``") + "`")
+    sides = F.split(line, f"\\Q{separator}\\E", 2)
+    fields = [F.nullif(F.trim(F.get(sides, F.lit(n)), F.lit(WHITESPACE)), F.lit("")) for n in range(2)]
+    return normalise_headers(lines.select(*fields).toDF(*header.split(separator, 1)), lower_headers)
+
+
 def read_format(
     spark: SparkSession, path: str, format: str = "parquet", options: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -94,4 +112,9 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None, **arguments: object) -> DataFrame:
     """SQL text over named tables; ``:name`` parameters come from ``arguments``."""
     register_views(tables or {})
-    return spark.sql(text, args=arguments or None)
+    try:
+        return spark.sql(text, args=arguments or None)
+    finally:
+        # The text is resolved by now.
+        for name in tables or {}:
+            spark.catalog.dropTempView(name)

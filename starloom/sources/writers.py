@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.columns import cast_to_schema
+from starloom.operators.columns import cast_to_schema, quoted, string_columns
+from starloom.values import UNKNOWN_TEXT
 
 
 def write_table(
@@ -24,10 +26,15 @@ def write_table(
     Rows are first rebalanced on the partition columns: rows of small partitions meet in one
     task and give one file, while a partition holding much of the table is spread over as many
     tasks as its size asks for. ``sort_by`` orders rows inside files, which lets readers skip
-    row groups. With ``refresh_partitions`` only the directories that receive rows are replaced.
+    row groups. An empty text in a partition column, which a directory name cannot hold, becomes
+    the unknown text; NULL stays NULL. With ``refresh_partitions`` only the directories that receive rows are replaced.
     """
     keys = list(partition_by)
     if keys:
+        texts = [name for name in string_columns(df) if name in keys]
+        df = df.withColumns(
+            {name: F.when(quoted(name) == "", F.lit(UNKNOWN_TEXT)).otherwise(quoted(name)) for name in texts}
+        )
         df = df.hint("rebalance", *keys)
     if sort_by:
         df = df.sortWithinPartitions(*keys, *sort_by)

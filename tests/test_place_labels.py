@@ -30,7 +30,7 @@ def split(spark, labels):
         (None, UNKNOWN, UNKNOWN),
         ("A, T, BB", "A", "T"),
         ("A,", "A", ""),
-        ("A, BCD, EF, more, parts", "A BCD", "EF"),
+        ("A, BCD, EF, more, parts", "A BCD EF MORE PARTS", UNKNOWN),
     ],
 )
 def test_labels(spark, label, city, state):
@@ -39,6 +39,7 @@ def test_labels(spark, label, city, state):
 
 def by_rule(parts):
     """The rule for one label, from its description: parts are already standardised."""
+    parts = parts[:2] + [" ".join(parts[2:])] * (len(parts) > 2)
     c, s, o = (parts + [UNKNOWN] * 3)[:3]
     second_is_place = len(s) > 2 and "(" not in s and s != UNKNOWN
     if not second_is_place:
