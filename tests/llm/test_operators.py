@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starloom.llm import hpylm
 from starloom.llm.decontamination import benchmark_hits
 from starloom.llm.hpylm import score_texts
 from starloom.llm.jaccard import jaccard_components
@@ -157,6 +158,14 @@ def test_scores(spark, docs, nothing):
     assert sum(r.n_tokens for r in rows if not r.held_out) == rows[0].train_tokens
 
 
+def test_scores_of_split_blocks(spark, docs, monkeypatch):
+    whole = sorted(score_texts(spark, docs).collect(), key=str)
+    monkeypatch.setattr(hpylm, "SPLIT_TOKENS", 10_000)
+    split = sorted(score_texts(spark, docs).collect(), key=str)
+    assert [r[:5] for r in split] == [r[:5] for r in whole]
+    assert np.allclose([r.score for r in split], [r.score for r in whole])
+
+
 def test_nearest(spark):
     random = np.random.default_rng(0)
     vectors = [(k, random.normal(size=8).tolist()) for k in range(300)] + [(1000 + k, [1.0] * 8) for k in range(50)]
