@@ -1,13 +1,14 @@
 """A corpus from raw documents to shards, in five stages, each by one operator of ``starloom.llm``.
 
 Every stage gets what the one before has left, reads it whole and returns the columns of
-documents; the last returns the plan of shards. An id stands for one document: rows that repeat
-an id together with its text are one document after the second stage. NULL ids pass all stages.
+documents; the last returns the plan of shards. Where rows have to be told apart, a stage numbers
+them, as ids may be NULL or repeated: rows that repeat an id together with its text are one document
+after the second stage, whatever the id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import read_table, saved
@@ -25,14 +26,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return resample(spark, docs, read_table(spark, sf_dir, "labels")).select(*docs.columns)
 
 
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row, ``_row``, written so that it stays the same."""
+    return saved(spark, docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar word 5-grams, the one with the smallest id."""
-    found = jaccard_components(spark, docs)
-    first = saved(spark, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "first-of-group")
-    kept = docs.join(first.where("doc_id IS NOT NULL"), "doc_id", "left_semi").select(*docs.columns)
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    once = kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
-    return once.unionByName(docs.where("doc_id IS NULL"))
+    """Of rows linked by similar word 5-grams, the one with the smallest id, a NULL id being the largest.
+
+    Rows without words link with nothing; of those that repeat an id with its text one is left.
+    """
+    rows = _numbered(spark, docs)
+    found = jaccard_components(spark, rows, id_column="_row")
+    named = rows.select("_row", "doc_id", F.xxhash64("text").alias("text")).join(found, "_row")
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = [F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("doc_id")), F.when(wordless, F.col("text"))]
+    first = named.groupBy(*[column.alias(f"_{k}") for k, column in enumerate(group)]).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    )
+    first = saved(spark, first.select("first._row"), "first-of-group")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +56,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as often as the mix of sources takes them: a document may recur or drop out."""
-    copies = mixed_copies(mix(spark, docs)).where("copies > 0")
-    copies = saved(spark, copies.withColumnRenamed("doc_id", "_id"), "mixed-copies")
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
+    rows = _numbered(spark, docs)
+    copies = mixed_copies(mix(spark, rows, key="_row"), "_row").where("copies > 0")
+    copies = saved(spark, copies, "mixed-copies")
+    taken = rows.join(copies, "_row")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
 
 

@@ -150,6 +150,7 @@ def mix(
     block_words: int = 1024,
     most_blocks: int = 131_072,
     seed: int = 42,
+    key: str | None = None,
 ) -> DataFrame:
     """The pieces of which the mix consists, and a row without a piece for documents left out.
 
@@ -160,11 +161,14 @@ def mix(
     the shard. Blocks have ``block_words`` words, or more if there would be over ``most_blocks``.
 
     NULL and empty texts have no words and no pieces; a NULL source is a source; ids may be NULL
-    or repeated, each row counts; further columns are ignored; no rows give no pieces.
+    or repeated, each row counts; further columns are ignored, but for ``key``, a number of each
+    row that its pieces bear too; no rows give no pieces.
     """
+    extra = ["_key"] if key else []
     sized = docs.select(
         F.col(id_column).alias("_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
         F.xxhash64(F.col(text), F.col(id_column), F.lit(seed)).alias("_dice"),
+        *[F.col(key).alias(name) for name in extra],
     )
     sized = saved(spark, sized, "mix-sizes")
     targets = source_targets(sized, weights, share, most)
@@ -190,8 +194,8 @@ def mix(
     # A row for each source, with a number for each shard.
     plan = saved(spark, targets.join(ends, "rank"), "mix-plan")
     same_source = sized["source"].eqNullSafe(targets["source"])
-    ranked = sized.join(targets.select("source", "rank"), same_source).select("_id", "size", "_dice", "rank")
-    placed = running_totals(spark, ranked, ["rank", "_dice", "_id"], {"before": "size"}, "mix-ranges")
+    ranked = sized.join(targets.select("source", "rank"), same_source).select("_id", "size", "_dice", "rank", *extra)
+    placed = running_totals(spark, ranked, ["rank", "_dice", "_id", *extra], {"before": "size"}, "mix-ranges")
     known = placed.join(plan, "rank").withColumn("at", F.col("before") - F.col("source_start"))
     rounds = F.when(
         (F.col("size") > 0) & (F.col("at") < F.col("quota")),
@@ -217,6 +221,7 @@ def mix(
     return pieces.select(
         "row_index",
         F.col("_id").alias(id_column),
+        *[F.col(name).alias(key) for name in extra],
         "source",
         "size",
         "source_size",
