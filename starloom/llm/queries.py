@@ -18,6 +18,7 @@ from starloom.llm.quality import resample
 from starloom.llm.sharding import minimax_shards
 from starloom.llm.token_counts import token_counts
 from starloom.llm.token_files import read_digests, write_ids
+from starloom.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +97,38 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
     return license_scan(spark, read_table(spark, sf_dir, "documents"), path, F.col("doc_id") % 50 == 0)
+
+
+#: The rules of the query.
+URL_RULES = (
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+)
+
+
+@query
+def op13_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.range(1).select(
+        F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for r, v in URL_RULES]))
+    )
+    found = filter_urls(spark, read_table(spark, sf_dir, "pages"), rules)
+    return found.select("passed.page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op13_url_cascade"] = """
+    WITH parts AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    addresses AS (
+        SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+               translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM parts),
+    judged AS (
+        SELECT page_id, host, path, CASE
+            WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM addresses)
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
+    """
