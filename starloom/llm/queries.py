@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import read_table
 from starloom.llm.decontamination import benchmark_hits
+from starloom.llm.hard_negatives import hard_negatives
 from starloom.llm.hpylm import score_texts
 from starloom.llm.jaccard import jaccard_components
 from starloom.llm.licenses import license_scan
@@ -132,3 +133,31 @@ ORACLES["op13_url_cascade"] = """
     SELECT page_id, host, path, rule,
            CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
     """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op12_hard_negatives"] = """
+    WITH vectors AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same
+         AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5
+    """
