@@ -12,7 +12,7 @@ own label. The second keeps a heap for each anchor and positive: the best rows o
 the window that the positive's score opens. A task merges its tiles into one heap each; the heaps
 of all tasks are merged by Spark, so what is shuffled is a few rows for each anchor and task.
 
-Anchors are broadcast in slices of ``SLICE_BYTES`` at most, each of which passes over the
+Anchors are broadcast in slices of about ``SLICE_BYTES``, each of which passes over the
 candidates in turn: a stated query set against all rows, in blocks.
 """
 
@@ -139,22 +139,24 @@ def _unpacked(row: dict, width: int) -> tuple[np.ndarray, ...]:
     return ids, rows, labels, extra.reshape(len(ids), -1), np.frombuffer(row["vectors"], np.int64).reshape(len(ids), width)
 
 
-def _pair_of_tiles(row: dict, width: int):
-    """Both sides of a joined row and their scores."""
-    anchors = _unpacked({name: row[f"anchor_{name}"] for name in _TILE.names}, width)
+def _scores(row: dict, shared, width: int) -> Iterator[tuple]:
+    """A candidate tile with each anchor tile of the slice: tile number, both sides and their scores."""
     others = _unpacked(row, width)
-    return anchors, others, strassen(anchors[4], np.ascontiguousarray(others[4].T))
+    transposed = np.ascontiguousarray(others[4].T)
+    for number, packed in enumerate(shared.value):
+        anchors = _unpacked(packed, width)
+        yield number, anchors, others, strassen(anchors[4], transposed)
 
 
-def _best_positives(width: int, size: int):
+def _best_positives(shared, width: int, size: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, Heaps]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                anchors, others, scores = _pair_of_tiles(row, width)
-                _, heaps = held.setdefault(row["tile"], (anchors[1], Heaps(len(anchors[1]), size)))
-                same = (anchors[2][:, None] == others[2][None, :]) & (anchors[1][:, None] != others[1][None, :])
-                heaps.merge(scores, others[0], others[1], same)
+                for number, anchors, others, scores in _scores(row, shared, width):
+                    _, heaps = held.setdefault(number, (anchors[1], Heaps(len(anchors[1]), size)))
+                    same = (anchors[2][:, None] == others[2][None, :]) & (anchors[1][:, None] != others[1][None, :])
+                    heaps.merge(scores, others[0], others[1], same)
         for rows, heaps in held.values():
             which, ids, numbers, scores = heaps.entries()
             yield pa.RecordBatch.from_pydict({"anchor": rows[which], "id": ids, "row": numbers, "score": scores})
@@ -162,35 +164,30 @@ def _best_positives(width: int, size: int):
     return search
 
 
-def _best_negatives(width: int, size: int, low: int, high: int):
+def _best_negatives(shared, width: int, size: int, low: int, high: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, list[Heaps]]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                anchors, others, scores = _pair_of_tiles(row, width)
-                positives = anchors[3]
-                if row["tile"] not in held:
-                    heaps = [Heaps(len(positives), size) for _ in range(positives.shape[1])]
-                    held[row["tile"]] = anchors[1], heaps
-                unlike = anchors[2][:, None] != others[2][None, :]
-                for place, heaps in enumerate(held[row["tile"]][1]):
-                    # An anchor with fewer positives has NULL places, and nothing is wanted for them.
-                    there = positives[:, place : place + 1] != _NOTHING
-                    limit = np.where(there, positives[:, place : place + 1], 0)
-                    # low * p <= 100 * s <= high * p as bounds of s, rounded inwards.
-                    inside = (scores >= -((-low * limit) // 100)) & (scores <= (high * limit) // 100)
-                    heaps.merge(scores, others[0], others[1], unlike & inside & there)
+                for number, anchors, others, scores in _scores(row, shared, width):
+                    positives = anchors[3]
+                    if number not in held:
+                        heaps = [Heaps(len(positives), size) for _ in range(positives.shape[1])]
+                        held[number] = anchors[1], heaps
+                    unlike = anchors[2][:, None] != others[2][None, :]
+                    for place, heaps in enumerate(held[number][1]):
+                        # An anchor with fewer positives has empty places, for which nothing is wanted.
+                        there = positives[:, place : place + 1] != _NOTHING
+                        limit = np.where(there, positives[:, place : place + 1], 0)
+                        # low * p <= 100 * s <= high * p as bounds of s, rounded inwards.
+                        inside = (scores >= -((-low * limit) // 100)) & (scores <= (high * limit) // 100)
+                        heaps.merge(scores, others[0], others[1], unlike & inside & there)
         for rows, lists in held.values():
             for place, heaps in enumerate(lists):
                 which, ids, numbers, scores = heaps.entries()
+                places = np.full(len(which), place + 1, np.int32)
                 yield pa.RecordBatch.from_pydict(
-                    {
-                        "anchor": rows[which],
-                        "place": np.full(len(which), place + 1, np.int32),
-                        "id": ids,
-                        "row": numbers,
-                        "score": scores,
-                    }
+                    {"anchor": rows[which], "place": places, "id": ids, "row": numbers, "score": scores}
                 )
 
     return search
@@ -208,18 +205,20 @@ def _tiles(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _against_all(spark: SparkSession, anchors: DataFrame, candidates: DataFrame, width: int, search, schema: str, name: str):
-    """Every anchor tile with every candidate tile, a bounded slice of anchors at a time; the heaps of all tasks."""
-    tiles = saved(spark, _tiles(anchors, width).withColumn("tile", F.monotonically_increasing_id()), f"{name}-anchors")
-    sizes = tiles.agg(F.count(F.lit(1)), F.sum(F.octet_length("vectors"))).first()
-    slices = max(1, -(-(sizes[1] or 0) // SLICE_BYTES))
-    names = [F.col(column).alias(f"anchor_{column}") for column in _TILE.names]
+    """Every anchor tile with every candidate tile, a slice of anchors at a time; the heaps of all tasks.
+
+    A slice is some ``SLICE_BYTES`` of tiles, however many anchors there are.
+    """
+    tiles = _tiles(anchors, width).withColumn("tile", F.monotonically_increasing_id())
+    tiles = saved(spark, tiles, f"{name}-anchors")
+    size = tiles.agg(F.coalesce(F.sum(F.octet_length("vectors")), F.lit(0))).first()[0]
+    slices = max(1, -(-size // SLICE_BYTES))
     found = None
     for k in range(slices):
-        slice_of = F.pmod(F.xxhash64("tile"), F.lit(slices)).cast("int")
-        some = tiles.select(slice_of.alias("slice"), "tile", *names).where(F.col("slice") == k)
-        # The slice is bounded; each candidate tile meets all of its tiles.
-        pairs = candidates.withColumn("slice", F.lit(k)).join(F.broadcast(some), "slice")
-        heaps = saved(spark, pairs.mapInArrow(search, schema), f"{name}-heaps")
+        some = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(slices)) == k).orderBy("tile")
+        shared = spark.sparkContext.broadcast([row.asDict() for row in some.collect()])
+        heaps = saved(spark, candidates.mapInArrow(search(shared), schema), f"{name}-heaps")
+        shared.unpersist()
         found = heaps if found is None else found.unionByName(heaps)
     return found
 
@@ -277,7 +276,7 @@ def hard_negatives(
         asking.select("id", "row", "label", no_extra, "vector"),
         candidates,
         width,
-        _best_positives(width, positives),
+        lambda shared: _best_positives(shared, width, positives),
         "anchor long, id long, row long, score long",
         "positive",
     )
@@ -295,7 +294,7 @@ def hard_negatives(
         windows,
         candidates,
         width,
-        _best_negatives(width, negatives, low, high),
+        lambda shared: _best_negatives(shared, width, negatives, low, high),
         "anchor long, place int, id long, row long, score long",
         "negative",
     )
