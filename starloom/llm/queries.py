@@ -17,6 +17,7 @@ from starloom.llm.mixing import mix
 from starloom.llm.permutation_index import nearest
 from starloom.llm.quality import resample
 from starloom.llm.sharding import minimax_shards
+from starloom.llm.spelling import spelling_variants
 from starloom.llm.token_counts import token_counts
 from starloom.llm.token_files import read_digests, write_ids
 from starloom.llm.url_filter import filter_urls
@@ -161,3 +162,8 @@ ORACLES["op12_hard_negatives"] = """
          AND 80 * positive_score <= 100 * score AND score <= positive_score
     QUALIFY rank <= 5
     """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(spark, read_table(spark, sf_dir, "documents"))
