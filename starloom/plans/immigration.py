@@ -14,15 +14,16 @@ from pyspark.sql import types as T
 
 from starloom.functions.text import LABEL_TEXT, nth_part, nth_part_as_double
 from starloom.operators.aggregates import fanout_topk
-from starloom.operators.checks import row_count_check
+from starloom.operators.checks import written_count_check
 from starloom.operators.columns import cast_to_schema, rename_all, standardise_strings
 from starloom.operators.duplicates import distinct_keys
 from starloom.operators.joins import Link, missing_members, star_join
 from starloom.operators.place_labels import split_place_label
 from starloom.plans.dimensions import build_dimension, build_lookup
 from starloom.plans.facts import clean_fact_source
+from starloom.plans.runs import Step, run_steps
 from starloom.sources.readers import read_delimited, read_format, read_label_list, read_parquet
-from starloom.sources.writers import append_table, write_table
+from starloom.sources.writers import append_table, rows_written, write_table
 
 
 def _schema(text: str) -> T.StructType:
@@ -182,6 +183,7 @@ class Settings:
     city_partitions: tuple[str, ...] = ("state",)
     fact_partitions: tuple[str, ...] = ("yr", "mnth", "us_stt")
     unique_dimensions: bool = False
+    writes_at_once: int = 8
     metrics: Mapping[str, int] = field(default_factory=lambda: dict.fromkeys(TABLES, 0))
 
 
@@ -209,41 +211,71 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{root}/{name}", SCHEMAS[name])
 
 
-def run_dimensions(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> None:
-    """Write the dimensions: airports before the ports they lack, cities before the states."""
+def dimension_steps(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> dict[str, Step]:
+    """The writes of the dimensions: airports before the ports they lack, cities before the states.
+
+    Each returns the number of rows it has written.
+    """
     airports, cities = f"{root}/dim_airports", f"{root}/dim_cities"
     by_code = [name for name in ("local_code",) if name not in settings.airport_partitions]
 
-    write_table(
-        airport_dimension(read_delimited(spark, inputs.airports, AIRPORT_SOURCE)),
-        airports,
-        settings.airport_partitions,
-        sort_by=by_code,
-    )
-    write_table(city_dimension(read_delimited(spark, inputs.cities, CITY_SOURCE, ";")), cities, settings.city_partitions)
+    def write_airports(_):
+        rows = airport_dimension(read_delimited(spark, inputs.airports, AIRPORT_SOURCE))
+        return _count(write_table(rows, airports, settings.airport_partitions, sort_by=by_code, measures=rows_written()))
+
+    def write_cities(_):
+        rows = city_dimension(read_delimited(spark, inputs.cities, CITY_SOURCE, ";"))
+        return _count(write_table(rows, cities, settings.city_partitions, measures=rows_written()))
+
+    def write_countries(_):
+        rows = country_dimension(read_label_list(spark, inputs.countries, {"Code": "long"}))
+        return _count(write_table(cast_to_schema(rows, COUNTRY), f"{root}/dim_countries", measures=rows_written()))
+
+    def append_ports(_):
+        ports = port_members(read_label_list(spark, inputs.ports))
+        new = missing_members(read_table(spark, root, "dim_airports"), ports, "local_code", AIRPORT)
+        return _count(append_table(new, airports, AIRPORT, settings.airport_partitions, by_code, rows_written()))
+
+    def write_modes(_):
+        rows = build_lookup(read_label_list(spark, inputs.modes, {"code": "long"}, lower_headers=True))
+        return _count(write_table(cast_to_schema(rows, MODE), f"{root}/dim_modes", measures=rows_written()))
+
+    def append_states(_):
+        states = state_members(read_label_list(spark, inputs.states, lower_headers=True))
+        held = read_table(spark, root, "dim_cities")
+        new = missing_members(held, states, "state_code", CITY, null_key="drop", dedupe=CITY_KEY)
+        return _count(append_table(new, cities, CITY, settings.city_partitions, measures=rows_written()))
+
+    def write_visas(_):
+        rows = build_lookup(read_label_list(spark, inputs.visas, {"Code": "long"}))
+        return _count(write_table(cast_to_schema(rows, VISA), f"{root}/dim_visa", measures=rows_written()))
+
+    return {
+        "dim_airports": Step(write_airports),
+        "dim_cities": Step(write_cities),
+        "dim_countries": Step(write_countries),
+        "missing ports": Step(append_ports, ["dim_airports"]),
+        "dim_modes": Step(write_modes),
+        "missing states": Step(append_states, ["dim_cities"]),
+        "dim_visa": Step(write_visas),
+    }
 
-    countries = country_dimension(read_label_list(spark, inputs.countries, {"Code": "long"}))
-    write_table(cast_to_schema(countries, COUNTRY), f"{root}/dim_countries")
 
-    ports = port_members(read_label_list(spark, inputs.ports))
-    new_airports = missing_members(read_table(spark, root, "dim_airports"), ports, "local_code", AIRPORT)
-    append_table(new_airports, airports, AIRPORT, settings.airport_partitions, by_code)
+# The steps whose rows make up a table, where it is more than one.
+_PARTS = {"dim_airports": ("dim_airports", "missing ports"), "dim_cities": ("dim_cities", "missing states")}
 
-    modes = build_lookup(read_label_list(spark, inputs.modes, {"code": "long"}, lower_headers=True))
-    write_table(cast_to_schema(modes, MODE), f"{root}/dim_modes")
 
-    states = state_members(read_label_list(spark, inputs.states, lower_headers=True))
-    new_cities = missing_members(
-        read_table(spark, root, "dim_cities"), states, "state_code", CITY, null_key="drop", dedupe=CITY_KEY
-    )
-    append_table(new_cities, cities, CITY, settings.city_partitions)
+def _count(measured: Mapping[str, int]) -> int:
+    return measured["n_rows"]
+
 
-    visas = build_lookup(read_label_list(spark, inputs.visas, {"Code": "long"}))
-    write_table(cast_to_schema(visas, VISA), f"{root}/dim_visa")
+def run_dimensions(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> dict[str, int]:
+    """Write the dimensions, independent ones at the same time; returns the rows written by each step."""
+    return run_steps(spark, dimension_steps(spark, inputs, root, settings), settings.writes_at_once)
 
 
-def run_fact(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> DataFrame:
-    """Write the fact table from the written dimensions; returns the cleaned arrivals."""
+def run_fact(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> tuple[DataFrame, int]:
+    """Write the fact table from the written dimensions; returns the cleaned arrivals and the rows written."""
     arrivals = read_format(spark, inputs.arrivals, inputs.arrivals_format, inputs.arrivals_options)
     names = {
         "country": "dim_countries",
@@ -255,18 +287,23 @@ def run_fact(spark: SparkSession, inputs: Inputs, root: str, settings: Settings
     dimensions = {role: read_table(spark, root, name) for role, name in names.items()}
     whole = clean_fact_source(arrivals, DAY_NUMBERS, all_wanted=True)
     fact = immigration_fact(whole, dimensions, settings.unique_dimensions)
-    write_table(fact, f"{root}/fact_immigration", settings.fact_partitions)
+    written = write_table(fact, f"{root}/fact_immigration", settings.fact_partitions, measures=rows_written())
     # Cleaned column by column, so that an analysis reads only what it looks at.
-    return clean_fact_source(arrivals, DAY_NUMBERS)
+    return clean_fact_source(arrivals, DAY_NUMBERS), _count(written)
 
 
 def run_star_schema(spark: SparkSession, inputs: Inputs, root: str, settings: Settings = Settings()) -> Outcome:
-    """Dimensions, fact, analysis and row-count check, in this order."""
-    run_dimensions(spark, inputs, root, settings)
-    cleaned = run_fact(spark, inputs, root, settings)
+    """Dimensions, fact, analysis and row-count check, in this order.
+
+    Dimensions that do not wait for each other are written at the same time, and the check takes
+    the counts that the writes have measured: no table is read again for it.
+    """
+    steps = run_dimensions(spark, inputs, root, settings)
+    cleaned, facts = run_fact(spark, inputs, root, settings)
+    counts = steps | {name: sum(steps[part] for part in parts) for name, parts in _PARTS.items()} | {"fact_immigration": facts}
     tables = {name: read_table(spark, root, name) for name in TABLES}
     return Outcome(
         tables,
         settlement_topk(cleaned, tables["dim_cities"]),
-        row_count_check({name: (tables[name], metric) for name, metric in settings.metrics.items()}),
+        written_count_check(spark, counts, settings.metrics),
     )

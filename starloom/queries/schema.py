@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from starloom.plans import immigration
 from starloom.plans.dimensions import build_dimension as dimension_of
 from starloom.plans.dimensions import build_lookup as lookup_of
 from starloom.plans.facts import build_fact as fact_of
+from starloom.plans.runs import Step, run_steps
 from starloom.queries.registry import UNKNOWN, query, sql_label_text, sql_table_text, table
 from starloom.queries.storage import write_delimited, write_label_list
 from starloom.session import scratch_path
@@ -202,11 +205,15 @@ def immigration_inputs(spark: SparkSession, sf_dir: str) -> immigration.Inputs:
         F.col("l_returnflag").alias("visatype"),
     )
     # Every airport is written twice, so that the dimension has copies to drop.
-    write_delimited(airports.union(airports), f"{root}/airports")
-    write_delimited(cities, f"{root}/cities", ";")
+    writes = {
+        "airports": Step(lambda _: write_delimited(airports.union(airports), f"{root}/airports")),
+        "cities": Step(lambda _: write_delimited(cities, f"{root}/cities", ";")),
+        "arrivals": Step(lambda _: write_table(arrivals, f"{root}/arrivals")),
+    }
     for name, labels in lists.items():
-        write_label_list(labels, f"{root}/{name}", *headers[name])
-    write_table(arrivals, f"{root}/arrivals")
+        write = partial(write_label_list, labels, f"{root}/{name}", *headers[name])
+        writes[name] = Step(lambda _, write=write: write())
+    run_steps(spark, writes)
     return immigration.Inputs(
         f"{root}/airports", f"{root}/cities", arrivals=f"{root}/arrivals", **{name: f"{root}/{name}" for name in lists}
     )
@@ -233,3 +240,34 @@ def star_schema_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, immigration_inputs(spark, sf_dir), scratch_path(spark, "immigration")
     )
     return outcome.checks
+
+
+def _fact_text(column: str) -> str:
+    return f"{sql_table_text(column)} AS"
+
+
+@query(
+    f"""
+    SELECT CAST(year(l_shipdate) AS DOUBLE) AS yr, CAST(quarter(l_shipdate) AS DOUBLE) AS mnth, o_custkey AS cty_cntry,
+           CAST(c_nationkey AS DOUBLE) AS resdnc_cntry, 'L' || l_suppkey AS prt,
+           strftime(l_shipdate, '%Y-%m-%d') AS arrvl_dt, CAST(l_linenumber AS BIGINT) AS arrvl_md,
+           CASE WHEN c_nationkey % 6 <> 5 THEN 'N' || c_nationkey ELSE {UNKNOWN} END AS us_stt,
+           CASE WHEN l_returnflag <> 'R' THEN strftime(CAST(l_shipdate AS DATE) + 10, '%Y-%m-%d') ELSE '1960-01-01' END AS dprtr_dt,
+           CAST(l_quantity AS DOUBLE) AS rpndnt_age, CAST(round(l_tax * 100) AS BIGINT) AS vs_typ_id, CAST(1 AS DOUBLE) AS cnt,
+           {_fact_text("l_linestatus")} dt_fl, {_fact_text("l_linestatus")} vs_issd_stt, {UNKNOWN} AS occptn,
+           {_fact_text("l_linestatus")} arrvl_flg, {_fact_text("l_linestatus")} dprtr_flg, {UNKNOWN} AS updt_flg,
+           {_fact_text("l_returnflag")} arrvl_dprtr_flg, CAST(year(l_shipdate) - l_quantity AS DOUBLE) AS brth_yr,
+           strftime(l_shipdate, '%Y%m%d') AS allwd_dt, {_fact_text("o_orderpriority")} gndr, {UNKNOWN} AS ins_nmbr,
+           {_fact_text("o_orderpriority")} arln, CAST(l_orderkey AS DOUBLE) AS admssn_nmbr, CAST(l_suppkey AS VARCHAR) AS flght_nmbr,
+           {_fact_text("l_returnflag")} vs_typ
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    WHERE l_linenumber <> 7
+    """
+)
+def star_schema_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table of the whole run, all columns of it."""
+    root = scratch_path(spark, "immigration")
+    inputs = immigration_inputs(spark, sf_dir)
+    immigration.run_dimensions(spark, inputs, root)
+    immigration.run_fact(spark, inputs, root)
+    return immigration.read_table(spark, root, "fact_immigration")

@@ -13,13 +13,22 @@ SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
 
 
 def build_session(
-    app_name: str = "starloom", master: str | None = None, largest_shuffle_bytes: int | None = None, **conf: str
+    app_name: str = "starloom",
+    master: str | None = None,
+    largest_shuffle_bytes: int | None = None,
+    filter_keys_up_to: int | None = None,
+    **conf: str,
 ) -> SparkSession:
     """A session with adaptive execution and skew-join splitting on.
 
     ``largest_shuffle_bytes`` is a guess at the biggest shuffle of the job. Its tasks are cut to
     some 256 MB each, and adaptive execution merges what turns out smaller, so that a guess too
-    high costs little and one too low shows as spilling. Pass further settings with dots written
+    high costs little and one too low shows as spilling.
+
+    ``filter_keys_up_to`` is the size in bytes of a filtered dimension up to which Spark makes a Bloom
+    filter of its keys and drops facts without a match before they are shuffled, where the fact
+    table is at least ten times as large. It is for dimensions too large to broadcast; the filter
+    itself is at most 8 MB. Pass further settings with dots written
     as double underscores; they override those made here.
     """
     settings = {
@@ -28,10 +37,17 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Concurrent writes share the executors instead of queueing behind the largest.
+        "spark.scheduler.mode": "FAIR",
     }
     if largest_shuffle_bytes is not None:
         tasks = max(1, -(-largest_shuffle_bytes // SHUFFLE_TASK_BYTES))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(tasks)
+    if filter_keys_up_to is not None:
+        prefix = "spark.sql.optimizer.runtime.bloomFilter"
+        settings[f"{prefix}.enabled"] = "true"
+        settings[f"{prefix}.creationSideThreshold"] = str(filter_keys_up_to)
+        settings[f"{prefix}.applicationSideScanSizeThreshold"] = str(10 * filter_keys_up_to)
     settings.update({name.replace("__", "."): str(value) for name, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -22,6 +22,39 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separat
     return spark.read.schema(schema).option("sep", separator).option("header", True).csv(path)
 
 
+#: What ``checked_delimited`` adds: the line as it stands if it was rejected, and the file it is from.
+REJECTED_LINE, SOURCE_FILE = "_rejected_line", "_source_file"
+
+
+def checked_delimited(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str = ",", **options: object
+) -> DataFrame:
+    """Delimited text as ``read_delimited`` gives it, each row with what is wrong with it.
+
+    A line is rejected if a field is not of its declared type or if it has more or fewer fields than
+    the schema; ``_rejected_line`` then holds it as it stands, and is NULL for good lines.
+    ``_source_file`` is the path of its file. All fields are parsed whatever columns are asked for,
+    as a line is good or bad as a whole. Blank lines are no rows, and header lines are none either.
+    """
+    taken = {REJECTED_LINE, SOURCE_FILE} & set(schema.fieldNames())
+    if taken:
+        raise ValueError(f"columns of a checked scan cannot be called {', '.join(sorted(taken))}")
+    scan = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(REJECTED_LINE, T.StringType())]))
+        .option("sep", separator)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED_LINE)
+        .options(**options)
+        .csv(path)
+    )
+    fields = [F.col("`" + name.replace("`", "``") + "`") for name in schema.fieldNames()]
+    # Only fields that are asked for are converted, and so found to be wrong. The condition always
+    # holds; it asks for all of them.
+    line = F.when(F.hash(*fields) >= F.lit(-(2**31)), F.col(REJECTED_LINE))
+    return scan.withColumns({REJECTED_LINE: line, SOURCE_FILE: F.col("_metadata.file_path")})
+
+
 def read_delimited_inferred(
     spark: SparkSession, path: str, separator: str = ",", encoding: str = "ISO-8859-1"
 ) -> DataFrame:
