@@ -72,6 +72,7 @@ def _encode(name: str, end_id: int, bounds: list[int]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts, pa.int32()), batch["id"], pa.array(packed, pa.binary())], ["part", "id", "packed"]
             )
+        words.forget()
 
     return encode
 

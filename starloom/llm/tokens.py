@@ -18,7 +18,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Words, and pieces of words, that one Python worker keeps in each of two generations.
-KEPT_WORDS, KEPT_PIECES = 350_000, 700_000
+KEPT_WORDS, KEPT_PIECES = 150_000, 250_000
 
 # The settings under which blanks part tokens and the shortcut below holds.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -43,6 +43,10 @@ class _Kept(dict):
     def __init__(self, make, most: int):
         self._make, self._most, self._older = make, most, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self._older = {}
+
     def __missing__(self, key):
         value = self._older.get(key)
         if value is None:
@@ -102,6 +106,11 @@ class WordEncoder:
             return self.whole([text])[0]
         return b"".join(map(self._words.__getitem__, text.encode().split()))
 
+    def forget(self) -> None:
+        """Drops what is kept. Workers are used again by stages that encode nothing."""
+        self._pieces.forget()
+        self._words.forget()
+
     def count_words(self, text: str) -> list[int]:
         """The number of tokens of each word."""
         return [len(self._words[word]) // self.width for word in text.encode().split()]
