@@ -8,8 +8,9 @@ that share a prefix token there must share one under two further orders too befo
 are compared.
 
 1. Tokens are dealt out by value, in blocks of numbers, and counted by documents. Only tokens of
-   two or more documents go on. A document of which fewer than ``ceil(t * n)`` tokens are shared
-   with any other is done: under each order its prefix consists of tokens of its own.
+   two or more documents go on, back to the batch of documents they came from. A document of which
+   fewer than ``ceil(t * n)`` tokens are shared with any other is done: under each order its prefix
+   consists of tokens of its own. So is a copy of another set.
 2. What remains is posted under the prefix tokens of the first order. Within a token's list, not
    all pairs are tried: in each turn the members are compared with one hub of the list, and what
    links joins a component. Members of one component need no comparison, nor do those of which
@@ -34,7 +35,7 @@ from starloom.llm.common import saved, ship_package
 from starloom.llm.components import merge_components
 
 #: Bits of a token, and bytes of text for which one block of tokens is counted at a time.
-TOKEN_BITS, PART_BYTES = 48, 8 << 20
+TOKEN_BITS, PART_BYTES = 48, 24 << 20
 
 #: Another turn with hubs is taken if the last one left no more than this part of the components.
 WORTH_A_TURN = 0.9
@@ -100,39 +101,59 @@ def _name(words: int):
     return name
 
 
-_DEALT = pa.schema([("part", pa.int32()), ("sets", pa.binary()), ("tokens", pa.binary())])
-#: A set in a block: name, size, how many of its tokens follow.
-_SET = np.dtype([("node", "<i8"), ("n", "<u4"), ("here", "<u4")])
+#: A set of a batch in its dictionary: name and size.
+_SET = np.dtype([("node", "<i8"), ("n", "<u4")])
+_DEALT = pa.schema(
+    [("part", pa.int32()), ("batch", pa.int64()), ("sets", pa.binary()), ("tokens", pa.binary()), ("owners", pa.binary())]
+    + [("names", pa.binary()), ("named", pa.binary())]
+)
+_DEALT_SQL = "part int, batch long, sets binary, tokens binary, owners binary, names binary, named binary"
+#: Sets in a batch, so that two bytes tell them apart.
+_MOST_SETS = 1 << 16
 
 
 def _deal(words: int, parts: int):
-    """Each batch of documents becomes a block for each range of tokens."""
+    """Each batch of documents becomes a row for each range of tokens.
+
+    A token goes with the two-byte number that its set has in the batch, whatever the number of
+    ranges; the names and sizes of sets go once, in the row of one range. The name of a batch is
+    a hash of its sets. Names of sets are dealt out by their own ranges too, to find copies.
+    """
+
+    def rows_of(sets: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate([s for _, s in sets])
+        about = np.zeros(len(sets), _SET)
+        about["node"], about["n"] = [name for name, _ in sets], [len(s) for _, s in sets]
+        batch = xxhash.xxh3_64_intdigest(about.tobytes()) >> 1
+        owner = np.repeat(np.arange(len(sets)), about["n"]).astype("<u2")
+        part = _part(tokens >> np.uint64(TOKEN_BITS - 32), parts)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        names = np.ascontiguousarray(about["node"])
+        name_part = _part(names.view(np.uint64) >> np.uint64(32), parts)
+        for p in range(parts):
+            chosen, named = order[edges[p] : edges[p + 1]], np.flatnonzero(name_part == p)
+            here = about.tobytes() if p == batch % parts else b""
+            if len(chosen) or len(named) or here:
+                row = {"part": [p], "batch": [batch], "sets": [here], "tokens": [_pack(tokens[chosen])]}
+                row |= {"owners": [owner[chosen].tobytes()], "names": [names[named].tobytes()]}
+                yield pa.RecordBatch.from_pydict(row | {"named": [named.astype("<u2").tobytes()]}, _DEALT)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text, words) for text in batch["text"].to_pylist()]
+            sets = (shingles(text, words) for text in batch["text"].to_pylist())
             sets = list({set_name(s): s for s in sets if len(s)}.items())
-            if not sets:
-                continue
-            tokens = np.concatenate([s for _, s in sets])
-            sizes = np.array([len(s) for _, s in sets])
-            names = np.array([name for name, _ in sets], np.int64)
-            part = ((tokens >> np.uint64(TOKEN_BITS - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in range(parts):
-                chosen = order[edges[p] : edges[p + 1]]
-                if len(chosen):
-                    owners, here = np.unique(owner[chosen], return_counts=True)
-                    head = np.zeros(len(owners), _SET)
-                    head["node"], head["n"], head["here"] = names[owners], sizes[owners], here
-                    row = {"part": [p], "sets": [head.tobytes()], "tokens": [_pack(tokens[chosen])]}
-                    yield pa.RecordBatch.from_pydict(row, _DEALT)
+            for start in range(0, len(sets), _MOST_SETS):
+                yield from rows_of(sets[start : start + _MOST_SETS])
 
     return deal
 
 
+def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
+    """Ranges of 32-bit numbers."""
+    return (numbers * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
     """The rows of each key; they stand together."""
     now, rows = None, []
@@ -147,50 +168,53 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
         yield now, rows
 
 
-#: A token of a set: with the logarithm of the number of sets that have it.
-_SHARED = np.dtype([("node", "<i8"), ("n", "<u4"), ("rarity", "u1"), ("token", "u1", 6)])
-_OUT = pa.schema([("group", pa.int32()), ("shared", pa.binary())])
-
-
-def _count(groups: int):
-    """Of each range of tokens, those of two or more sets, dealt out by set."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, "part"):
-            head = np.concatenate([np.frombuffer(row["sets"], _SET) for row in rows])
-            tokens = np.concatenate([_unpack(row["tokens"]) for row in rows])
-            node, n = np.repeat(head["node"], head["here"]), np.repeat(head["n"], head["here"])
-            del head, rows
-            order = np.argsort(tokens, kind="stable")
-            tokens, node, n = tokens[order], node[order], n[order]
-            edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            rows_of = np.diff(np.append(edge, len(tokens)))
-            keep = np.repeat(rows_of > 1, rows_of)  # a token of one row is of one set
-            tokens, node, n = tokens[keep], node[keep], n[keep]
-            order = np.lexsort((node, tokens))
-            tokens, node, n = tokens[order], node[order], n[order]
-            # Copies of a set from several batches are one set.
-            fresh = np.ones(len(tokens), bool)
-            fresh[1:] = (tokens[1:] != tokens[:-1]) | (node[1:] != node[:-1])
-            tokens, node, n = tokens[fresh], node[fresh], n[fresh]
-            if not len(tokens):
-                continue
-            edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            sets_of = np.diff(np.append(edge, len(tokens)))
-            sets_of = np.repeat(sets_of, sets_of)
-            keep = sets_of > 1
-            out = np.zeros(int(keep.sum()), _SHARED)
-            out["node"], out["n"], out["rarity"] = node[keep], n[keep], (4 * np.log2(sets_of[keep])).astype(np.uint8)
-            out["token"] = tokens[keep].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            group = (_mixed(out["node"].view(np.uint64), 1) % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            out, edges = out[order], np.searchsorted(group[order], np.arange(groups + 1))
-            for g in range(groups):
-                if edges[g] < edges[g + 1]:
-                    row = {"group": [g], "shared": [out[edges[g] : edges[g + 1]].tobytes()]}
-                    yield pa.RecordBatch.from_pydict(row, _OUT)
-
-    return count
+#: A token of a set of a batch: with the logarithm of the number of sets that have it, or ``_COPY``.
+_SHARED = np.dtype([("owner", "<u2"), ("rarity", "u1"), ("token", "u1", 6)])
+_OUT = pa.schema([("batch", pa.int64()), ("sets", pa.binary()), ("shared", pa.binary())])
+#: In the place of a rarity: the set has the name of another, which stands for both.
+_COPY = 255
+
+
+def _runs_of(values: np.ndarray) -> np.ndarray:
+    """How often each of some sorted values occurs, at each of its places."""
+    edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(edge, len(values)))
+    return np.repeat(sizes, sizes)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each range of tokens, those of two or more sets, and of its names the copies, by batch."""
+    for _, rows in _grouped(batches, "part"):
+        # Batches of one name are equal: one stands for all.
+        rows = list({row["batch"]: row for row in rows}.values())
+        names = np.array([row["batch"] for row in rows], np.int64)
+
+        def owners(column: str, rows: list[dict] = rows) -> np.ndarray:
+            """The place of the batch and the number of the set, in one number."""
+            return np.concatenate([np.frombuffer(row[column], "<u2").astype(np.int64) | k << 16 for k, row in enumerate(rows)])
+
+        tokens, owner = np.concatenate([_unpack(row["tokens"]) for row in rows]), owners("owners")
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        sets_of = _runs_of(tokens)
+        keep = sets_of > 1
+        tokens, owner, sets_of = tokens[keep], owner[keep], sets_of[keep]
+        # Of sets with one name, the one in the batch of the smallest name stands for all.
+        node, holder = np.concatenate([np.frombuffer(row["names"], np.int64) for row in rows]), owners("named")
+        order = np.lexsort((holder & 0xFFFF, names[holder >> 16], node))
+        node, holder = node[order], holder[order]
+        copies = holder[np.concatenate([[False], node[1:] == node[:-1]])] if len(node) else holder
+        out = np.zeros(len(tokens) + len(copies), _SHARED)
+        out["owner"] = np.concatenate([owner, copies]) & 0xFFFF
+        out["rarity"][: len(tokens)], out["rarity"][len(tokens) :] = 4 * np.log2(np.maximum(sets_of, 1)), _COPY
+        out["token"][: len(tokens)] = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        batch = np.concatenate([owner, copies]) >> 16
+        order = np.argsort(batch, kind="stable")
+        out, edges = out[order], np.searchsorted(batch[order], np.arange(len(rows) + 1))
+        for k, row in enumerate(rows):
+            if edges[k] < edges[k + 1] or row["sets"]:
+                found = {"batch": [row["batch"]], "sets": [row["sets"]], "shared": [out[edges[k] : edges[k + 1]].tobytes()]}
+                yield pa.RecordBatch.from_pydict(found, _OUT)
 
 
 _SETS = pa.schema(
@@ -202,18 +226,24 @@ def _gather(percent: int):
     """The shared tokens of each set that has enough of them, in the order of their value."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, "group"):
+        for _, rows in _grouped(batches, "batch"):
+            about = np.frombuffer(next(row["sets"] for row in rows if row["sets"]), _SET)
             shared = np.concatenate([np.frombuffer(row["shared"], _SHARED) for row in rows])
-            shared = shared[np.argsort(shared["node"], kind="stable")]
-            edge = np.flatnonzero(np.concatenate([[True], shared["node"][1:] != shared["node"][:-1]]))
+            copies = set(shared["owner"][shared["rarity"] == _COPY].tolist())
+            shared = shared[shared["rarity"] != _COPY]
+            shared = shared[np.argsort(shared["owner"], kind="stable")]
+            shared_by = shared["owner"].astype(np.int64)
+            edge = np.flatnonzero(np.diff(shared_by, prepend=-1)) if len(shared) else np.zeros(0, np.int64)
             out = []
-            for a, b in zip(edge, np.append(edge[1:], len(shared)), strict=True):
+            for a, b in zip(edge, [*edge[1:], len(shared)], strict=False):
                 one = shared[a:b]
-                if b - a >= least_common(int(one["n"][0]), percent):
+                owner = int(one["owner"][0])
+                node, n = about[owner].tolist()
+                if owner not in copies and b - a >= least_common(n, percent):
                     tokens = _unpack(np.ascontiguousarray(one["token"]).tobytes())
                     order = np.argsort(tokens)
                     out.append(
-                        {"node": int(one["node"][0]), "n": int(one["n"][0]), "centre": -len(one) / int(one["n"][0])}
+                        {"node": node, "n": n, "centre": -len(one) / n}
                         | {"rarity": one["rarity"][order].tobytes(), "tokens": _pack(tokens[order])}
                     )
                 if len(out) >= 256:
@@ -347,10 +377,10 @@ def jaccard_components(
     named = saved(spark, rows.mapInArrow(_name(words), "id long, n long, node long"), "named-sets")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
-    dealt = rows.select("text").mapInArrow(_deal(words, parts), "part int, sets binary, tokens binary")
+    dealt = rows.select("text").mapInArrow(_deal(words, parts), _DEALT_SQL)
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part")
-    shared = dealt.mapInArrow(_count(parts), "group int, shared binary")
-    shared = shared.repartition(parts, "group").sortWithinPartitions("group")
+    shared = dealt.mapInArrow(_count, "batch long, sets binary, shared binary")
+    shared = shared.repartition(parts, "batch").sortWithinPartitions("batch")
     sets = shared.mapInArrow(_gather(percent), "node long, n long, centre double, rarity binary, tokens binary")
     sets = saved(spark, sets, "shared-sets")
     posts = sets.select("node", "n", "rarity", "tokens", "centre").mapInArrow(

@@ -193,3 +193,57 @@ def test_licenses(spark, docs):
     found = {r.doc_id: r for r in license_scan(spark, table, F.col("path"), F.col("path").endswith("LICENSE")).collect()}
     assert (found[1].own_license, found[2].license, found[2].inherited_from, found[3].license) == ("MIT", "MIT", "a", "CC-BY-4.0")
     assert found[4].license is None and found[5].license is None and found[6].license is None
+
+
+def brute_components(rows, percent=75):
+    """Component of each row by comparing all pairs of sets."""
+    sets = []
+    for _, text in rows:
+        found = (text or "").encode().lower().split()
+        k = min(5, len(found))
+        sets.append({tuple(found[i : i + k]) for i in range(len(found) - k + 1)} if found else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = collections.defaultdict(list)
+    for i, (name, _) in enumerate(rows):
+        least[find(i)].append(name)
+    return [(name, len(sets[i]), min(least[find(i)]) if sets[i] else name) for i, (name, _) in enumerate(rows)]
+
+
+def edge_cases():
+    """Families of texts around the threshold, copies within and across batches, and passages that many share."""
+    rng = np.random.default_rng(4)
+    word = lambda: f"w{rng.integers(10**6)}"
+    passage = [word() for _ in range(40)]
+    texts = []
+    for family in range(25):
+        # Two sets of n + k tokens with n in common: n / (n + 2k) is 0.75 for n = 6k.
+        k = 2 + family % 3
+        common = [word() for _ in range(6 * k + 4)]
+        texts += [" ".join(common + [word() for _ in range(k + extra)]) for extra in (0, 0, 1, -1)]
+        texts += [texts[-1], texts[-2].upper()]
+        texts.append(" ".join(passage + [word() for _ in range(60 + family)]))
+    texts += ["same text again and again for ever"] * 40 + [None, "", "short one", "short  ONE", LONG, LONG + " tail"]
+    return [(int(i), texts[k]) for k, i in enumerate(rng.permutation(len(texts)))]
+
+
+@pytest.mark.parametrize(("batch", "part_bytes"), [("10000", 24 << 20), ("7", 300)])
+def test_jaccard_against_all_pairs(spark, monkeypatch, settings, batch, part_bytes):
+    from starloom.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "PART_BYTES", part_bytes if part_bytes > 1000 else 20_000)
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch=batch)
+    rows = edge_cases()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sorted(map(tuple, jaccard_components(spark, df).collect()))
+    wanted = sorted(brute_components(rows))
+    assert any(a[0] != a[2] for a in wanted) and found == wanted
