@@ -37,9 +37,21 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(spark.sparkContext.applicationId)
 
 
+#: The paths that ``saved`` has written to, in turn.
+SAVED: list[str] = []
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Removes tables between steps; what was made from them must have been written."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def saved(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The same rows, written to the shared folder and read back: lost executors can't undo them."""
     path = scratch_path(spark, name)
+    SAVED.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -392,9 +392,9 @@ def jaccard_components(
     while many:
         pairs, hubs = _pairs_with_hub(spark, posts, labels, percent)
         labels = merge_components(spark, labels, _compared(spark, pairs, sets, percent, orders))
-        # A hub has been compared with all of its list.
-        done = hubs.select("token", F.col("hub.node").alias("node"))
-        posts = saved(spark, posts.join(done, ["token", "node"], "left_anti"), "posts")
+        # A hub has been compared with all of its list; a list of one component is done.
+        left = hubs.select("token", F.col("hub.node").alias("done"))
+        posts = saved(spark, posts.join(left, "token").where(F.col("node") != F.col("done")).drop("done"), "posts")
         before, many = many, _count_components(labels)
         if many > WORTH_A_TURN * before:
             break
