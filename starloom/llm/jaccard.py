@@ -35,7 +35,7 @@ from starloom.llm.common import saved, ship_package
 from starloom.llm.components import merge_components
 
 #: Bits of a token, and bytes of text for which one block of tokens is counted at a time.
-TOKEN_BITS, PART_BYTES = 48, 24 << 20
+TOKEN_BITS, PART_BYTES = 48, 12 << 20
 
 #: Another turn with hubs is taken if the last one left no more than this part of the components.
 WORTH_A_TURN = 0.9
