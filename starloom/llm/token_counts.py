@@ -3,12 +3,15 @@
 A huge document is cut into chunks that overlap, so that many tasks encode it. Two neighbours
 are spliced at a place in their overlap where both have a token end before a blank, with the
 same tokens around it; blanks are known to part tokens, so what stands on either side is
-encoded alike in the whole text. Where neighbours share no such place, the document is cut
-again with wider overlaps, in the end so wide that one chunk holds it all.
+encoded alike in the whole text. An overlap without enough blanks is widened when the text is
+cut, and the next chunk starts at its end, so that a run without blanks is encoded once. Where
+neighbours still share no such place, the document is cut again with longer chunks and wider
+overlaps, in the end so long that one chunk holds it all. Each turn encodes little more than the text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +25,9 @@ from starloom.llm.tokens import encoder
 BLANKS = frozenset(" \t\n\r\x0b\x0c")
 #: How many tokens on each side of a place both chunks must have in common.
 AGREE = 3
+#: Words that an overlap has to hold: one more than a splice takes, and one cut at either end.
+WORDS = 2 * AGREE + 3
+_WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 EDGE = pa.struct([("at", pa.int64()), ("around", pa.int64()), ("before", pa.int64())])
 ENCODED = pa.schema(
@@ -42,23 +48,38 @@ def safe_edges(text: str, start: int, ids: list[int], offsets: list[tuple[int, i
     return edges
 
 
+def chunks_of(text: str, chunk_chars: int, overlap: int) -> Iterator[tuple[int, int, int]]:
+    """Where each chunk starts, where its overlap with the next begins, and where it ends.
+
+    The overlap is the last ``overlap`` characters of a chunk, which is made longer until these
+    hold ``WORDS`` words; the next chunk starts with them. The last one ends with the text.
+    """
+    start = 0
+    while True:
+        end = start + chunk_chars + overlap
+        while end < len(text) and sum(1 for _ in _WORD.finditer(text, end - overlap, end)) < WORDS:
+            end += overlap
+        if end >= len(text):
+            yield start, len(text), len(text)
+            return
+        yield start, end - overlap, end
+        start = end - overlap
+
+
 def _cut(chunk_chars: int, overlap: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                for chunk, start in enumerate(range(0, len(text), chunk_chars)):
-                    last = start + chunk_chars + overlap >= len(text)
-                    piece = text[start : start + chunk_chars + overlap]
+                for chunk, (start, shared, end) in enumerate(chunks_of(text, chunk_chars, overlap)):
                     yield pa.RecordBatch.from_pydict(
-                        {"row": [row], "chunk": [chunk], "start": [start], "last": [last], "piece": [piece]}
+                        {"row": [row], "chunk": [chunk], "start": [start], "shared": [shared - start]}
+                        | {"last": [end == len(text)], "piece": [text[start:end]]}
                     )
-                    if last:
-                        break
 
     return cut
 
 
-def _encode(name: str, chunk_chars: int, overlap: int):
+def _encode(name: str, overlap: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoder(name).tokenizer
         for batch in batches:
@@ -67,7 +88,7 @@ def _encode(name: str, chunk_chars: int, overlap: int):
                 found = tokenizer.encode(text, add_special_tokens=False)
                 ids, offsets = found.ids, found.offsets
                 left = safe_edges(text, start, ids, offsets, 0, overlap) if row["chunk"] else []
-                right = [] if row["last"] else safe_edges(text, start, ids, offsets, chunk_chars, len(text))
+                right = [] if row["last"] else safe_edges(text, start, ids, offsets, row["shared"], len(text))
                 out = {"row": row["row"], "chunk": row["chunk"], "tokens": len(ids), "last": row["last"]}
                 yield pa.RecordBatch.from_pylist([out | {"left": left, "right": right}], ENCODED)
 
@@ -99,7 +120,8 @@ def token_counts(
     """Id, ``n_bytes``, ``n_tokens`` and ``over_limit`` (more tokens than ``limit``) of each row.
 
     NULL and empty texts have 0 bytes and 0 tokens; each row counts, with a NULL or a repeated
-    id too; further columns are ignored; no rows give no rows. If the tokenizer's settings don't
+    id too; further columns are ignored; no rows give no rows. Very long texts are encoded in
+    chunks of about ``chunk_chars`` characters, runs without blanks in one piece each. If the tokenizer's settings don't
     prove that blanks part tokens, every document is encoded in one piece.
     """
     ship_package(spark)
@@ -112,10 +134,10 @@ def token_counts(
     waiting = saved(spark, rows.where(huge).withColumn("row", F.monotonically_increasing_id()), "huge-texts")
     while not waiting.isEmpty():
         chunks = waiting.select("row", "text").mapInArrow(
-            _cut(chunk_chars, overlap), "row long, chunk long, start long, last boolean, piece string"
+            _cut(chunk_chars, overlap), "row long, chunk long, start long, shared long, last boolean, piece string"
         )
         encoded = chunks.repartition("row", "chunk").mapInArrow(
-            _encode(tokenizer, chunk_chars, overlap),
+            _encode(tokenizer, overlap),
             f"row long, chunk long, tokens long, last boolean, left {EDGES}, right {EDGES}",
         )
         encoded = saved(spark, encoded, "huge-chunks")
@@ -136,7 +158,7 @@ def token_counts(
         done = waiting.join(summed.where("open = 0"), "row").select("id", "n_bytes", "n_tokens")
         counted = counted.unionByName(done)
         waiting = saved(spark, waiting.join(summed.where("open > 0").select("row"), "row", "left_semi"), "huge-texts")
-        overlap *= 4
+        overlap, chunk_chars = 4 * overlap, max(chunk_chars, 16 * overlap)
     return counted.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
