@@ -172,7 +172,8 @@ def resample(
     the labelled; ``temperature`` scales the noise.
 
     NULL and empty texts have no words and count as neutral; ties at the last place are all
-    drawn; repeated rows share their fate; conflicting labels count as not good; NULL labels
+    drawn; rows that repeat an id with its text share their fate, and rows without id are drawn
+    each for itself; very long texts are scored whole; conflicting labels count as not good; NULL labels
     and labels without a document are ignored; without labels, or without good ones among them,
     every row is drawn; no rows give no rows. Further columns are passed on, whatever their names.
     """
@@ -189,6 +190,8 @@ def resample(
     rows = docs.select(
         *[F.col(f"`{name}`").alias(new) for name, new in zip(columns, inner, strict=True)],
         F.col(id_column).alias("_id"),
+        # What noise depends on: rows without id differ by their place in the input only.
+        F.when(F.col(id_column).isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(text)).alias("_draw"),
         F.col(text).alias("_text"),
     )
     name = "log_ratio" if "log_ratio" not in columns else "_log_ratio"
@@ -200,8 +203,8 @@ def resample(
     ratios = fit_ratios(spark, rows.select("_id", F.col("_text").alias("text")).join(good, "_id", "left"))
     shared = spark.sparkContext.broadcast(ratios)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_text").schema)
-    scored = rows.select(*inner, "_id", "_text").mapInArrow(_score(shared, "_score"), f"{schema}, _score double")
-    noise: Column = -F.log(-F.log(uniform(F.lit(seed + 1), F.col("_id")) + F.lit(2.0**-54)))
+    scored = rows.select(*inner, "_id", "_draw", "_text").mapInArrow(_score(shared, "_score"), f"{schema}, _score double")
+    noise: Column = -F.log(-F.log(uniform(F.lit(seed + 1), F.col("_id"), F.col("_draw")) + F.lit(2.0**-54)))
     keyed = saved(spark, scored.withColumn("_key", F.col("_score") + F.lit(float(temperature)) * noise), "scored")
     n_rows = keyed.count()
     drawn = round(n_rows * (seen[1] / seen[0] if share is None else share))
