@@ -20,7 +20,8 @@ sums stay small however frequent its words are, and ``n`` is exact there; what r
 among blocks are two numbers each. The first run samples with totals scaled up from the words of a
 block; their sums over all blocks are the totals of the second run, which goes on from its tables. It averages the predictive
 probabilities of its samples, and the documents' pairs stream past them. Blocks of frequent words
-have their documents split among several tasks, each of which draws the same samples.
+have their documents split among several tasks, each of which draws the same samples. Documents
+go to the blocks in portions, and a block answers each portion with one row of sums by document.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ from pyspark.sql import functions as F
 from starloom.llm.common import saved, ship_package, word_count
 
 #: Restaurants, text for which the words of one block are sampled together.
-CONTEXTS, PART_BYTES = 4096, 8 << 20
+CONTEXTS, PART_BYTES = 1 << 16, 8 << 20
+#: Restaurants whose totals share a row between tasks.
+SLICE = 1 << 12
 #: Discount and strength of the restaurants and of the parent.
 D, S, D0, S0 = 0.7, 20.0, 0.6, 10.0
 #: Sweeps before the totals are summed, before samples count, and that count.
@@ -75,7 +78,12 @@ def _part(words: np.ndarray, parts: int) -> np.ndarray:
 #: Word and context share 8 bytes: 48 and 16 bits.
 _PAIR_BITS = np.uint64(16)
 _HEAD = np.dtype([("row", "<i8"), ("pairs", "<u4")])
-_DEALT = pa.schema([("part", pa.int32()), ("split", pa.int32()), ("heads", pa.binary()), ("pairs", pa.binary()), ("counts", pa.binary()), ("seated", pa.binary())])
+_DEALT = pa.schema(
+    [("part", pa.int32()), ("split", pa.int32()), ("portion", pa.int64())]
+    + [(name, pa.binary()) for name in ("heads", "pairs", "counts", "seated")]
+)
+#: What a block says of the words of a document that it has.
+_SUMS = np.dtype([("row", "<i8"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -99,13 +107,14 @@ def _blocks(parts: int, pairs: np.ndarray, counts: np.ndarray, owner=None, rows=
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(edges)).tolist():
         chosen = order[edges[p] : edges[p + 1]]
-        heads, split = b"", 0
+        heads, split, portion = b"", 0, 0
         if owner is not None:
             owners, here = np.unique(owner[chosen], return_counts=True)
             head = np.zeros(len(owners), _HEAD)
             head["row"], head["pairs"] = rows[owners], here
-            heads, split = head.tobytes(), int(rows[0]) % splits.get(p, 1)
-        row = {"part": [p], "split": [split], "heads": [heads], "pairs": [pairs[chosen].tobytes()]}
+            # The first row of a portion names it.
+            heads, split, portion = head.tobytes(), int(rows[0]) % splits.get(p, 1), int(rows[0])
+        row = {"part": [p], "split": [split], "portion": [portion], "heads": [heads], "pairs": [pairs[chosen].tobytes()]}
         yield pa.RecordBatch.from_pydict(row | {"counts": [counts[chosen].astype("<u4").tobytes()], "seated": [b""]}, _DEALT)
 
 
@@ -225,7 +234,7 @@ class Seating:
         order = order[self.counts[order] > 1]
         size = self.counts[order]
         edges = np.flatnonzero(np.diff(size, prepend=0)).tolist()
-        self.alike = [order[a:b] for a, b in zip(edges, [*edges[1:], len(order)], strict=True)]  # pairs by count
+        self.alike = [order[a:b] for a, b in zip(edges, [*edges[1:], len(order)], strict=bool(edges))]  # pairs by count; there may be none
         self.grids: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def parent(self) -> np.ndarray:
@@ -306,17 +315,18 @@ class Seating:
 
 _COLUMNS = ("heads", "pairs", "counts", "seated")
 _TYPES = (_HEAD, np.dtype(np.uint64), np.dtype("<u4"), np.dtype("<u4"))
-Row = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Row = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Iterator[Row]]]:
-    """The rows of each part and split in turn, as views of what Spark has sent: heads, pairs, counts and tables."""
+    """The rows of each part and split in turn, as views of what Spark has sent: heads, pairs, counts, tables and the portions of the heads."""
 
     def rows() -> Iterator[tuple[tuple[int, int], Row]]:
         for batch in batches:
             for place, key in enumerate(zip(batch["part"].to_pylist(), batch["split"].to_pylist(), strict=True)):
                 buffers = (batch[name][place].as_buffer() for name in _COLUMNS)
-                yield key, tuple(np.frombuffer(x, t) for x, t in zip(buffers, _TYPES, strict=True))
+                row = [np.frombuffer(x, t) for x, t in zip(buffers, _TYPES, strict=True)]
+                yield key, (*row, np.full(len(row[0]), batch["portion"][place].as_py()))
 
     for key, some in groupby(rows(), lambda x: x[0]):
         yield key, (row for _, row in some)
@@ -335,10 +345,10 @@ def _runs(rows: Iterator[Row], most: int) -> Iterator[Row]:
         yield tuple(map(np.concatenate, zip(*some, strict=True)))
 
 
-#: Two kinds of rows: the sums of a block, and the totals of a restaurant over the blocks of a task.
+#: Two kinds of rows: the sums of a block, and the totals of ``SLICE`` restaurants over the blocks of a task.
 _SUMMED = pa.schema(
     [("part", pa.int32()), ("tokens", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())]
-    + [("seated", pa.binary()), ("context", pa.int32()), ("customers", pa.float64()), ("tables", pa.float64()), ("kinds", pa.int64())]
+    + [("seated", pa.binary()), ("context", pa.int32()), ("customers", pa.binary()), ("tables", pa.binary()), ("kinds", pa.int64())]
 )
 
 
@@ -347,7 +357,7 @@ def _sum_blocks(parts: int):
         sums, kinds = np.zeros((2, CONTEXTS)), 0
         for (part, _), rows in _by_block(batches):
             pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            for _, more, times, _ in _runs(rows, SUM_PAIRS):
+            for _, more, times, *_ in _runs(rows, SUM_PAIRS):
                 pairs, counts = _sum_pairs(np.concatenate([pairs, more]), np.concatenate([counts, times]))
             seats = Seating(pairs, counts, part)
             for _ in range(FIRST):
@@ -358,13 +368,28 @@ def _sum_blocks(parts: int):
             sums += seats.per_context(seats.counts), seats.per_context(seats.tables)
             kinds += len(seats.words)
         if kinds:
-            totals = {"context": np.arange(CONTEXTS), "customers": sums[0], "tables": sums[1], "kinds": [kinds] + [0] * (CONTEXTS - 1)}
-            empty = {name: [None] * CONTEXTS for name in _SUMMED.names[:5]}
-            yield pa.RecordBatch.from_pydict(empty | totals, _SUMMED)
+            for k in range(0, CONTEXTS, SLICE):
+                totals = {"context": k, "kinds": kinds if k == 0 else 0}
+                customers, tables = (x[k : k + SLICE].tobytes() for x in sums)
+                yield pa.RecordBatch.from_pylist([totals | {"customers": customers, "tables": tables}], _SUMMED)
 
     return sum_blocks
 
 
+def _add_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the totals of slices as they come."""
+    sums: dict[int, np.ndarray] = {}
+    kinds = 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            both = np.stack([np.frombuffer(row[name], np.float64) for name in ("customers", "tables")])
+            sums[row["context"]] = sums.get(row["context"], 0) + both
+            kinds += row["kinds"]
+    for place, (context, (customers, tables)) in enumerate(sums.items()):
+        row = {"context": context, "customers": customers.tobytes(), "tables": tables.tobytes()}
+        yield pa.RecordBatch.from_pylist([row | {"kinds": 0 if place else kinds}], pa.schema([_SUMMED.field(k) for k in range(5, 9)]))
+
+
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         customers_of, tables_of, kinds = shared.value
@@ -388,7 +413,7 @@ def _score(shared):
             last_pair, last_word = len(seats.pairs), len(seats.words)
             of_pair, of_word, times = np.append(of_pair, 0.0), np.append(of_word, unseen), np.append(times, 0.0)
             del seats
-            for head, pairs, counts, _ in _runs(rows, SCORE_PAIRS):
+            for head, pairs, counts, _, portion in _runs(rows, SCORE_PAIRS):
                 owner = np.repeat(np.arange(len(head)), head["pairs"])
                 context, word = (pairs & np.uint64(0xFFFF)).astype(np.int64), pairs >> _PAIR_BITS
                 at = np.searchsorted(known_words[:-1], word)
@@ -398,17 +423,42 @@ def _score(shared):
                 backed = (S + D * tables_of[context]) / (S + customers_of[context]) * of_word[at]
                 chance = np.where(place < last_pair, of_pair[place], backed)
                 base = np.log10((times[at] + 0.1) / (total + 0.1 * (kinds + 1)))
-                row_of, back = np.unique(head["row"], return_inverse=True)
-                to = back[owner]
-                sums = [np.bincount(to, x * counts, len(row_of)) for x in (1, at < last_word, base, np.log10(chance))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row_of), *[pa.array(x.astype(np.int64)) for x in sums[:2]], *map(pa.array, sums[2:])],
-                    ["row", "n", "known", "base", "score"],
+                sums = np.zeros(len(head), _SUMS)
+                sums["row"] = head["row"]
+                for name, x in (("n", 1), ("known", at < last_word), ("base", base), ("score", np.log10(chance))):
+                    sums[name] = np.bincount(owner, x * counts, len(head))
+                edges = [*np.flatnonzero(np.diff(portion)) + 1, len(portion)]
+                yield pa.RecordBatch.from_pydict(
+                    {"portion": portion[[0, *edges[:-1]]], "part": np.full(len(edges), part, np.int32)}
+                    | {"sums": [sums[a:b].tobytes() for a, b in zip([0, *edges[:-1]], edges, strict=True)]}
                 )
 
     return score
 
 
+def _sum_rows(sums: np.ndarray) -> np.ndarray:
+    found, where = np.unique(sums["row"], return_inverse=True)
+    total = np.zeros(len(found), _SUMS)
+    total["row"] = found
+    for name in _SUMS.names[1:]:
+        total[name] = np.bincount(where, sums[name], len(found))
+    return total
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of a portion, from what all blocks say of it."""
+    rows = ((portion, said) for batch in batches for portion, said in zip(batch["portion"].to_pylist(), batch["sums"], strict=True))
+    for _, some in groupby(rows, lambda x: x[0]):
+        total, waiting, size = np.zeros(0, _SUMS), [], 0
+        for _, said in some:
+            waiting.append(np.frombuffer(said.as_buffer(), _SUMS))
+            size += len(waiting[-1])
+            if size > SCORE_PAIRS:
+                total, waiting, size = _sum_rows(np.concatenate([total, *waiting])), [], 0
+        total = _sum_rows(np.concatenate([total, *waiting]))
+        yield pa.RecordBatch.from_pydict({name: total[name].astype(total[name].dtype.kind.replace("u", "i") + "8") for name in _SUMS.names})
+
+
 def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``perplexity`` of each row.
 
@@ -427,17 +477,19 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     )
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
-    schema = "part int, split int, heads binary, pairs binary, counts binary, seated binary"
+    schema = "part int, split int, portion long, heads binary, pairs binary, counts binary, seated binary"
     training = rows.where("NOT held_out").select("text").mapInArrow(_deal_sums(parts), schema)
     summed = training.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
         _sum_blocks(parts),
-        "part int, tokens long, pairs binary, counts binary, seated binary, context int, customers double, tables double, kinds long",
+        "part int, tokens long, pairs binary, counts binary, seated binary, context int, customers binary, tables binary, kinds long",
     )
     blocks = saved(spark, summed, "word-blocks")
-    sums = blocks.where("context IS NOT NULL").groupBy("context")
+    totals = blocks.where("context IS NOT NULL").select("context", "customers", "tables", "kinds").repartition("context")
     customers_of, tables_of, kinds = np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0
-    for row in sums.agg(*[F.sum(name).alias(name) for name in ("customers", "tables", "kinds")]).collect():  # CONTEXTS rows
-        customers_of[row["context"]], tables_of[row["context"]] = row["customers"], row["tables"]
+    # CONTEXTS numbers of each kind.
+    for row in totals.mapInArrow(_add_totals, "context int, customers binary, tables binary, kinds long").collect():
+        at = slice(row["context"], row["context"] + SLICE)
+        customers_of[at], tables_of[at] = (np.frombuffer(row[name], np.float64) for name in ("customers", "tables"))
         kinds += row["kinds"]
     shared = spark.sparkContext.broadcast((customers_of, tables_of, kinds))
     most = max(SPLIT_TOKENS, int(customers_of.sum()) // SPLIT_PART)
@@ -447,11 +499,15 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     everything = rows.select("row", "text").mapInArrow(_deal_rows(parts, splits), schema).withColumn("docs", F.lit(True))
     times = F.greatest(F.ceil(F.col("tokens") / most), F.lit(1)).cast("int")
     sampled = blocks.where("part IS NOT NULL").select(
-        "part", F.explode(F.sequence(F.lit(0), times - 1)).alias("split"), F.lit(b"").alias("heads"), "pairs", "counts", "seated", F.lit(False).alias("docs")
+        "part", F.explode(F.sequence(F.lit(0), times - 1)).alias("split"), F.lit(0).cast("long").alias("portion"),
+        F.lit(b"").alias("heads"), "pairs", "counts", "seated", F.lit(False).alias("docs"),
     )
     everything = sampled.unionByName(everything).repartition(parts + sum(splits.values()), "part", "split")
     everything = everything.sortWithinPartitions("part", "split", "docs").drop("docs")
-    partial = everything.mapInArrow(_score(shared), "row long, n long, known long, base double, score double")
+    said = everything.mapInArrow(_score(shared), "portion long, part int, sums binary").repartition("portion")
+    partial = said.sortWithinPartitions("portion", "part").mapInArrow(
+        _gather, "row long, n long, known long, base double, score double"
+    )
     names = ("n", "known", "base", "score")
     summed = saved(spark, partial.groupBy("row").agg(*[F.sum(c).alias(f"_{c}") for c in names]), "scores")
     light = rows.select("id", "row", "held_out", (word_count(F.col("text")) + 1).alias("n_tokens"))
