@@ -1,7 +1,7 @@
 """A hierarchical Pitman-Yor model of words after contexts, sampled by Gibbs sweeps.
 
-What came before a word, its hash in one of ``CONTEXTS`` classes, is a restaurant; the words that
-followed are its customers, seated at tables by the Chinese restaurant process. All restaurants
+Each word that came before another is a restaurant; the words that followed are its customers,
+seated at tables by the Chinese restaurant process. All restaurants
 share one parent, in which each of their tables is a customer. The parent has one table for each
 word; its next new table stands for any word not seen in training. With ``c`` customers at ``t``
 tables for a word, ``C`` and ``T`` in the restaurant, ``n`` at the parent and ``N``, ``V`` in all,
@@ -16,12 +16,18 @@ all numbers are weighed; above, proposals near the conditional are taken or refu
 work grows with the root of the count.
 
 Words are dealt out in blocks by their hash. A word has one pair for each restaurant, so a block's
-sums stay small however frequent its words are, and ``n`` is exact there; what restaurants share
-among blocks are two numbers each. The first run samples with totals scaled up from the words of a
-block; their sums over all blocks are the totals of the second run, which goes on from its tables. It averages the predictive
-probabilities of its samples, and the documents' pairs stream past them. Blocks of frequent words
-have their documents split among several tasks, each of which draws the same samples. Documents
-go to the blocks in portions, and a block answers each portion with one row of sums by document.
+sums stay small however frequent its words are, and ``n`` is exact there. A restaurant's pairs are
+in many blocks: each block asks for the totals ``C`` and ``T`` of the restaurants that it has pairs
+of, and tasks that own restaurants by their hash add up what blocks say of them and answer. The
+first run of sweeps starts from one table for each pair; the second goes on from its tables, with
+the totals of these, and averages the predictive probabilities of its samples.
+
+The documents' words stream past the blocks in portions, and a block answers each portion with one
+row of sums by document. A pair not seen in training has the probability ``(s + d T) / (s + C)`` of
+its restaurant times ``P(w)``. Of one that was seen, the first factor is taken out. As the words of a text
+are its contexts too, one place on, a block adds that factor for the word as a context, whose totals it asks
+for as well; so nobody needs a table of all restaurants. Blocks of frequent words have their documents
+split among several tasks, each of which draws the same samples.
 """
 
 from __future__ import annotations
@@ -33,15 +39,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import saved, ship_package, word_count
 
-#: Restaurants, text for which the words of one block are sampled together.
-CONTEXTS, PART_BYTES = 1 << 16, 8 << 20
-#: Restaurants whose totals share a row between tasks.
-SLICE = 1 << 12
+#: Text for which the words of one block are sampled together, and blocks to one task that adds up totals of restaurants.
+PART_BYTES, OWNER_BLOCKS = 8 << 20, 4
 #: Discount and strength of the restaurants and of the parent.
 D, S, D0, S0 = 0.7, 20.0, 0.6, 10.0
 #: Sweeps before the totals are summed, before samples count, and that count.
@@ -67,23 +72,62 @@ def numbers(text: str | None) -> np.ndarray:
 
 
 def contexts(words: np.ndarray) -> np.ndarray:
-    before = np.concatenate([words[-1:], words[:-1]])
-    return (before % np.uint64(CONTEXTS)).astype(np.uint64)
+    """The word before each, the end's before the first."""
+    return np.concatenate([words[-1:], words[:-1]])
 
 
 def _part(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
 
 
-#: Word and context share 8 bytes: 48 and 16 bits.
-_PAIR_BITS = np.uint64(16)
-_HEAD = np.dtype([("row", "<i8"), ("pairs", "<u4")])
-_DEALT = pa.schema(
-    [("part", pa.int32()), ("split", pa.int32()), ("portion", pa.int64())]
-    + [(name, pa.binary()) for name in ("heads", "pairs", "counts", "seated")]
-)
+def _dealt(words: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by part, as it was within each, and the edges of the parts in it."""
+    part = _part(words, parts).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
+#: Word and context share 12 bytes: the word and the upper 16 bits of the context, and the other 32 bits.
+_UPPER, _LOWER = np.uint64(16), np.uint64(32)
+
+
+def _joined(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return words << _UPPER | before >> _LOWER, before.astype(np.uint32)
+
+
+def _context_of(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    return (pairs & np.uint64(0xFFFF)) << _LOWER | rest.astype(np.uint64)
+
+
+def _names(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs."""
+    mixed = pairs * np.uint64(0x9E3779B97F4A7C15) ^ (rest.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+#: How many words of which document of a portion follow.
+_HEAD = np.dtype([("place", "<u4"), ("words", "<u4")])
 #: What a block says of the words of a document that it has.
-_SUMS = np.dtype([("row", "<i8"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+_SUMS = np.dtype([("place", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+
+#: The sums of a block, answers to it (by who answers) and documents, in this order.
+BLOCK, DOCUMENTS = -1, (1 << 31) - 1
+_LONGS = ("tokens", "seats", "kinds", "portion")
+_BINARIES = {"heads": _HEAD, "pairs": np.dtype("<u8"), "rest": np.dtype("<u4"), "counts": np.dtype("<i8"), "tables": np.dtype("<i8")}
+#: Rows between tasks. A block has pairs, counts and tables; an answer the totals of restaurants in ``counts`` and ``tables``;
+#: a question the same of the block that asks, with the restaurants in ``pairs``; documents have heads and pairs.
+_ROW = pa.schema(
+    [(name, pa.int32()) for name in ("part", "split", "ask")]
+    + [(name, pa.int64()) for name in _LONGS]
+    + [(name, pa.binary()) for name in _BINARIES]
+)
+_SQL_ROW = ", ".join(
+    [f"{name} int" for name in ("part", "split", "ask")] + [f"{name} long" for name in _LONGS] + [f"{name} binary" for name in _BINARIES]
+)
+
+
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    empty = dict.fromkeys(_ROW.names, 0) | dict.fromkeys(_BINARIES, b"")
+    return pa.RecordBatch.from_pylist([empty | row for row in rows], _ROW)
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -95,65 +139,65 @@ def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, end - start)
 
 
-def _sum_pairs(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pairs, where = np.unique(pairs, return_inverse=True)
-    return pairs, np.bincount(where, counts, len(pairs)).astype(np.int64)
-
-
-def _blocks(parts: int, pairs: np.ndarray, counts: np.ndarray, owner=None, rows=None, splits=None) -> Iterator[pa.RecordBatch]:
-    """Pairs with counts by block, with the rows they are from, if given."""
-    part = _part(pairs >> _PAIR_BITS, parts).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in np.flatnonzero(np.diff(edges)).tolist():
-        chosen = order[edges[p] : edges[p + 1]]
-        heads, split, portion = b"", 0, 0
-        if owner is not None:
-            owners, here = np.unique(owner[chosen], return_counts=True)
-            head = np.zeros(len(owners), _HEAD)
-            head["row"], head["pairs"] = rows[owners], here
-            # The first row of a portion names it.
-            heads, split, portion = head.tobytes(), int(rows[0]) % splits.get(p, 1), int(rows[0])
-        row = {"part": [p], "split": [split], "portion": [portion], "heads": [heads], "pairs": [pairs[chosen].tobytes()]}
-        yield pa.RecordBatch.from_pydict(row | {"counts": [counts[chosen].astype("<u4").tobytes()], "seated": [b""]}, _DEALT)
-
-
-def _pairs_of(portion: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The distinct pairs of each text and their counts."""
-    found, counted = [], []
-    for text in portion["text"]:
-        words = numbers(text.as_py())
-        pairs, counts = np.unique(words << _PAIR_BITS | contexts(words), return_counts=True)
-        found.append(pairs)
-        counted.append(counts)
-    return found, counted
+Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _sum_pairs(pairs: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> Pairs:
+    """Distinct pairs in order, with their counts."""
+    order = np.lexsort((rest, pairs))
+    pairs, rest = pairs[order], rest[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]) | (rest[1:] != rest[:-1])
+    edges = np.flatnonzero(new)
+    return pairs[edges], rest[edges], np.add.reduceat(counts[order], edges) if len(edges) else counts[:0]
 
 
 def _deal_sums(parts: int):
     """Blocks of pairs summed up over many documents of a task."""
 
+    def dealt(words: list[np.ndarray]) -> pa.RecordBatch:
+        pairs, rest = _joined(np.concatenate(words), np.concatenate([contexts(w) for w in words]))
+        pairs, rest, counts = _sum_pairs(pairs, rest, np.ones(len(pairs), np.int64))
+        order, edges = _dealt(pairs >> _UPPER, parts)
+        some = ((p, order[edges[p] : edges[p + 1]]) for p in np.flatnonzero(np.diff(edges)).tolist())
+        return _rows([{"part": p, "pairs": pairs[k].tobytes(), "rest": rest[k].tobytes(), "counts": counts[k].tobytes()} for p, k in some])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        words, size = [], 0
         for portion in (part for batch in batches for part in _portions(batch)):
-            found, counted = _pairs_of(portion)
-            pairs, counts = _sum_pairs(np.concatenate([pairs, *found]), np.concatenate([counts, *counted]))
-            if len(pairs) > SUM_PAIRS:
-                yield from _blocks(parts, pairs, counts)
-                pairs, counts = pairs[:0], counts[:0]
-        yield from _blocks(parts, pairs, counts)
+            for text in portion["text"]:
+                words.append(numbers(text.as_py()))
+                size += len(words[-1])
+            if size > SUM_PAIRS:
+                yield dealt(words)
+                words, size = [], 0
+        if words:
+            yield dealt(words)
 
     return deal
 
 
 def _deal_rows(parts: int, splits: dict[int, int]):
-    """Blocks of the pairs of each document."""
+    """Blocks of the words of each document; the names of a portion's rows go along as a part of their own."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for portion in (part for batch in batches for part in _portions(batch)):
-            found, counted = _pairs_of(portion)
-            owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            rows = portion["row"].to_numpy()
-            yield from _blocks(parts, np.concatenate(found), np.concatenate(counted), owner, rows, splits)
+        task = TaskContext.get().partitionId() << 33
+        for number, portion in enumerate((part for batch in batches for part in _portions(batch)), task):
+            texts = [numbers(text.as_py()) for text in portion["text"]]
+            words, owner = np.concatenate(texts), np.repeat(np.arange(len(texts), dtype=np.uint32), [len(w) for w in texts])
+            pairs, rest = _joined(words, np.concatenate([contexts(w) for w in texts]))
+            order, edges = _dealt(words, parts)
+            spread = xxhash.xxh3_64_intdigest(number.to_bytes(8, "little"))
+            about = {"ask": DOCUMENTS, "portion": number}
+            rows = [about | {"part": -1, "split": spread % parts, "heads": portion["row"].to_numpy().tobytes()}]
+            for p in np.flatnonzero(np.diff(edges)).tolist():
+                some = order[edges[p] : edges[p + 1]]
+                starts = np.flatnonzero(np.diff(owner[some], prepend=np.uint32(len(texts))))
+                heads = np.zeros(len(starts), _HEAD)
+                heads["place"], heads["words"] = owner[some][starts], np.diff(starts, append=len(some))
+                row = {"part": p, "split": spread % splits.get(p, 1), "heads": heads.tobytes()}
+                rows.append(about | row | {"pairs": pairs[some].tobytes(), "rest": rest[some].tobytes()})
+            yield _rows(rows)
 
     return deal
 
@@ -224,12 +268,12 @@ def log_stirling(c: int, tables: np.ndarray) -> np.ndarray:
 class Seating:
     """The tables of all pairs of a block."""
 
-    def __init__(self, pairs: np.ndarray, counts: np.ndarray, seed: int, tables: np.ndarray | None = None):
-        self.pairs, self.counts = pairs, counts.astype(np.int64)
-        self.context = (pairs & np.uint64(0xFFFF)).astype(np.int64)
-        self.words, self.word = np.unique(pairs >> _PAIR_BITS, return_inverse=True)
+    def __init__(self, words: np.ndarray, context: np.ndarray, counts: np.ndarray, seed: int, tables: np.ndarray):
+        """``context`` is the place of each pair's restaurant in the totals that are given later."""
+        self.context, self.counts = context, counts.astype(np.int64)
+        self.words, self.word = np.unique(words, return_inverse=True)
         self.random = np.random.default_rng(seed)
-        self.tables = np.ones(len(pairs), np.int64) if tables is None else tables.astype(np.int64)
+        self.tables = tables.astype(np.int64)
         order = np.argsort(self.counts, kind="stable")
         order = order[self.counts[order] > 1]
         size = self.counts[order]
@@ -240,9 +284,6 @@ class Seating:
     def parent(self) -> np.ndarray:
         return np.bincount(self.word, self.tables, len(self.words))
 
-    def per_context(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.context, values, CONTEXTS)
-
     def sweep(self, tables_of: np.ndarray, customers: float, own: np.ndarray) -> None:
         """All customers of each pair are seated anew, given the tables of all others.
 
@@ -313,150 +354,207 @@ class Seating:
         return top / (S + customers_of[self.context]), base
 
 
-_COLUMNS = ("heads", "pairs", "counts", "seated")
-_TYPES = (_HEAD, np.dtype(np.uint64), np.dtype("<u4"), np.dtype("<u4"))
-Row = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Row = dict[str, np.ndarray | int]
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Iterator[Row]]]:
-    """The rows of each part and split in turn, as views of what Spark has sent: heads, pairs, counts, tables and the portions of the heads."""
+    """The rows of each part and split in turn; arrays are views of what Spark has sent."""
 
-    def rows() -> Iterator[tuple[tuple[int, int], Row]]:
+    def rows() -> Iterator[Row]:
         for batch in batches:
-            for place, key in enumerate(zip(batch["part"].to_pylist(), batch["split"].to_pylist(), strict=True)):
-                buffers = (batch[name][place].as_buffer() for name in _COLUMNS)
-                row = [np.frombuffer(x, t) for x, t in zip(buffers, _TYPES, strict=True)]
-                yield key, (*row, np.full(len(row[0]), batch["portion"][place].as_py()))
+            plain = {name: batch[name].to_pylist() for name in _ROW.names if name not in _BINARIES}
+            for place in range(len(batch)):
+                row = {name: values[place] for name, values in plain.items()}
+                yield row | {name: np.frombuffer(batch[name][place].as_buffer(), kind) for name, kind in _BINARIES.items()}
 
-    for key, some in groupby(rows(), lambda x: x[0]):
-        yield key, (row for _, row in some)
+    yield from groupby(rows(), lambda row: (row["part"], row["split"]))
 
 
-def _runs(rows: Iterator[Row], most: int) -> Iterator[Row]:
-    """Rows joined in runs of some ``most`` pairs."""
+def _runs(rows: Iterator[Row], most: int) -> Iterator[list[Row]]:
+    """Rows in runs of some ``most`` pairs."""
     some, size = [], 0
     for row in rows:
         some.append(row)
-        size += len(row[1])
+        size += len(row["pairs"])
         if size > most:
-            yield tuple(map(np.concatenate, zip(*some, strict=True)))
+            yield some
             some, size = [], 0
     if some:
-        yield tuple(map(np.concatenate, zip(*some, strict=True)))
+        yield some
 
 
-#: Two kinds of rows: the sums of a block, and the totals of ``SLICE`` restaurants over the blocks of a task.
-_SUMMED = pa.schema(
-    [("part", pa.int32()), ("tokens", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())]
-    + [("seated", pa.binary()), ("context", pa.int32()), ("customers", pa.binary()), ("tables", pa.binary()), ("kinds", pa.int64())]
-)
+def _block_row(part: int, pairs: np.ndarray, rest: np.ndarray, counts: np.ndarray, tables: np.ndarray) -> pa.RecordBatch:
+    about = {"part": part, "ask": BLOCK, "tokens": int(counts.sum()), "seats": int(tables.sum())}
+    words = pairs >> _UPPER
+    arrays = {"pairs": pairs, "rest": rest, "counts": counts.astype("<i8"), "tables": tables.astype("<i8")}
+    kinds = int(np.count_nonzero(np.diff(words))) + 1
+    return _rows([about | {"kinds": kinds} | {name: array.tobytes() for name, array in arrays.items()}])
+
 
+def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of each block, at one table each."""
+    for (part, _), rows in _by_block(batches):
+        summed = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        for some in _runs(rows, SUM_PAIRS):
+            columns = zip(summed, ("pairs", "rest", "counts"), strict=True)
+            summed = _sum_pairs(*(np.concatenate([array, *[row[name] for row in some]]) for array, name in columns))
+        yield _block_row(part, *summed, np.ones(len(summed[0]), np.int64))
 
-def _sum_blocks(parts: int):
-    def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, kinds = np.zeros((2, CONTEXTS)), 0
+
+def _restaurants(block: Row, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Restaurants that a block asks for, those of its own words included; their order by owner and its edges."""
+    before = _context_of(block["pairs"], block["rest"])
+    wanted = np.unique(np.concatenate([before, block["pairs"] >> _UPPER]))
+    return wanted, *_dealt(wanted, owners)
+
+
+def _ask(owners: int):
+    """What each block knows of restaurants, for those who add up their totals."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (part, _), rows in _by_block(batches):
-            pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            for _, more, times, *_ in _runs(rows, SUM_PAIRS):
-                pairs, counts = _sum_pairs(np.concatenate([pairs, more]), np.concatenate([counts, times]))
-            seats = Seating(pairs, counts, part)
+            for block in rows:
+                wanted, order, edges = _restaurants(block, owners)
+                at = np.searchsorted(wanted, _context_of(block["pairs"], block["rest"]))
+                customers, tables = (np.bincount(at, block[name], len(wanted)).astype("<i8") for name in ("counts", "tables"))
+                asked = []
+                for owner in np.flatnonzero(np.diff(edges)).tolist():
+                    some = order[edges[owner] : edges[owner + 1]]
+                    arrays = {"pairs": wanted[some], "counts": customers[some], "tables": tables[some]}
+                    about = {"part": part, "ask": owner, "tokens": block["tokens"]}
+                    asked.append(about | {name: array.tobytes() for name, array in arrays.items()})
+                yield _rows(asked)
+
+    return ask
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The totals of an owner's restaurants, for each block that asks, in the order in which it has asked."""
+
+    def asked() -> Iterator[dict]:
+        for batch in batches:
+            yield from batch.select(["ask", "part", "tokens", "pairs", "counts", "tables"]).to_pylist()
+
+    for owner, some in groupby(asked(), lambda row: row["ask"]):
+        rows = list(some)
+        names, at = np.unique(np.concatenate([np.frombuffer(row["pairs"], "<u8") for row in rows]), return_inverse=True)
+        totals = {
+            name: np.bincount(at, np.concatenate([np.frombuffer(row[name], "<i8") for row in rows]), len(names)).astype("<i8")
+            for name in ("counts", "tables")
+        }
+        start = 0
+        for row in rows:
+            end = start + len(row["pairs"]) // 8
+            about = {"part": row["part"], "ask": owner, "tokens": row["tokens"]}
+            yield _rows([about | {name: array[at[start:end]].tobytes() for name, array in totals.items()}])
+            start = end
+
+
+class _Opened:
+    """The sums of a block with the totals of its restaurants, or an empty block."""
+
+    def __init__(self, rows: Iterator[Row], owners: int, seed: int):
+        self.rows = iter(rows)
+        first = next(self.rows)
+        if first["ask"] != BLOCK:
+            self.rows = chain([first], self.rows)
+            first = {name: np.zeros(0, kind) for name, kind in _BINARIES.items()}
+        self.block = first
+        self.wanted, order, edges = _restaurants(first, owners)
+        self.customers_of, self.tables_of = np.zeros((2, len(self.wanted)))
+        for owner in np.flatnonzero(np.diff(edges)).tolist():
+            some, answer = order[edges[owner] : edges[owner + 1]], next(self.rows)
+            if answer["ask"] != owner:
+                raise RuntimeError(f"block without the answer of {owner}")
+            self.customers_of[some], self.tables_of[some] = answer["counts"], answer["tables"]
+        self.words = first["pairs"] >> _UPPER
+        at = np.searchsorted(self.wanted, _context_of(first["pairs"], first["rest"]))
+        self.seats = Seating(self.words, at, first["counts"], seed, first["tables"])
+
+    def backing(self, at: np.ndarray) -> np.ndarray:
+        """The chance that a restaurant leaves to its parent."""
+        return (S + D * self.tables_of[at]) / (S + self.customers_of[at])
+
+
+def _seat(owners: int, seated: int):
+    """The first sweeps. Tables of all blocks are taken to grow as those here do."""
+
+    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (part, _), rows in _by_block(batches):
+            opened = _Opened(rows, owners, part)
+            seats = opened.seats
             for _ in range(FIRST):
-                tables_of = seats.per_context(seats.tables)
-                seats.sweep(tables_of * parts, tables_of.sum() * parts, seats.tables)
-            block = {"part": part, "tokens": int(counts.sum()), "pairs": pairs.tobytes(), "counts": counts.astype("<u4").tobytes()}
-            yield pa.RecordBatch.from_pylist([block | {"seated": seats.tables.astype("<u4").tobytes()}], _SUMMED)
-            sums += seats.per_context(seats.counts), seats.per_context(seats.tables)
-            kinds += len(seats.words)
-        if kinds:
-            for k in range(0, CONTEXTS, SLICE):
-                totals = {"context": k, "kinds": kinds if k == 0 else 0}
-                customers, tables = (x[k : k + SLICE].tobytes() for x in sums)
-                yield pa.RecordBatch.from_pylist([totals | {"customers": customers, "tables": tables}], _SUMMED)
-
-    return sum_blocks
-
-
-def _add_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up the totals of slices as they come."""
-    sums: dict[int, np.ndarray] = {}
-    kinds = 0
-    for batch in batches:
-        for row in batch.to_pylist():
-            both = np.stack([np.frombuffer(row[name], np.float64) for name in ("customers", "tables")])
-            sums[row["context"]] = sums.get(row["context"], 0) + both
-            kinds += row["kinds"]
-    for place, (context, (customers, tables)) in enumerate(sums.items()):
-        row = {"context": context, "customers": customers.tobytes(), "tables": tables.tobytes()}
-        yield pa.RecordBatch.from_pylist([row | {"kinds": 0 if place else kinds}], pa.schema([_SUMMED.field(k) for k in range(5, 9)]))
-
-
-def _score(shared):
+                grown = seats.tables.sum() / len(seats.tables)
+                seats.sweep(opened.tables_of * grown, seated * grown, seats.tables)
+            yield _block_row(part, opened.block["pairs"], opened.block["rest"], seats.counts, seats.tables)
+
+    return seat
+
+
+def _score(owners: int, total: int, customers: int, kinds: int):
+    unseen = (S0 + D0 * kinds) / (S0 + customers)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        customers_of, tables_of, kinds = shared.value
-        total, customers = customers_of.sum(), tables_of.sum()
-        unseen = (S0 + D0 * kinds) / (S0 + customers)
         for (part, _), rows in _by_block(batches):
-            row = next(rows)
-            # The sums of a block, which have no heads, stand before its documents.
-            trained, rows = (row, rows) if not len(row[0]) else (tuple(x[:0] for x in row), chain([row], rows))
-            seats = Seating(trained[1], trained[2], part + 1_000_003, trained[3])
-            of_pair, of_word = np.zeros(len(seats.pairs)), np.zeros(len(seats.words))
+            if part < 0:
+                for row in rows:
+                    yield pa.RecordBatch.from_pydict({"portion": [row["portion"]], "part": pa.array([-1], pa.int32()), "sums": [row["heads"].tobytes()]})
+                continue
+            opened = _Opened(rows, owners, part + 1_000_003)
+            seats = opened.seats
+            before, seated = seats.tables.copy(), np.zeros(len(seats.tables))
+            of_word = np.zeros(len(seats.words))
             for k in range(BURN + SAMPLES):
-                seats.sweep(tables_of, customers, trained[3].astype(np.int64))
+                seats.sweep(opened.tables_of, customers, before)
                 if k >= BURN:
-                    some, base = seats.probabilities(tables_of, customers_of, customers)
-                    of_pair += some / SAMPLES
+                    some, base = seats.probabilities(opened.tables_of, opened.customers_of, customers)
+                    seated += some / SAMPLES
                     of_word += base / SAMPLES
-            times = np.bincount(seats.word, seats.counts, len(seats.words))
-            # One entry more, for what training lacks.
-            known_pairs, known_words = np.append(seats.pairs, np.uint64(0)), np.append(seats.words, np.uint64(0))
-            last_pair, last_word = len(seats.pairs), len(seats.words)
-            of_pair, of_word, times = np.append(of_pair, 0.0), np.append(of_word, unseen), np.append(times, 0.0)
-            del seats
-            for head, pairs, counts, _, portion in _runs(rows, SCORE_PAIRS):
-                owner = np.repeat(np.arange(len(head)), head["pairs"])
-                context, word = (pairs & np.uint64(0xFFFF)).astype(np.int64), pairs >> _PAIR_BITS
+            times = np.append(np.bincount(seats.word, seats.counts, len(seats.words)), 0.0)
+            # One entry more, for what training lacks: such a word is no restaurant either.
+            known_words, last_word = np.append(seats.words, np.uint64(0)), len(seats.words)
+            leaves = np.append(np.log10(opened.backing(np.searchsorted(opened.wanted, seats.words))), 0.0)
+            of_word = np.log10(np.append(of_word, unseen))
+            names = _names(opened.block["pairs"], opened.block["rest"])
+            order = np.argsort(names)
+            names, last_pair = np.append(names[order], np.uint64(0)), len(order)
+            of_pair = np.append((np.log10(seated) - np.log10(opened.backing(seats.context)))[order], 0.0)
+            bases = np.log10((times + 0.1) / (total + 0.1 * (kinds + 1)))
+            rows = opened.rows
+            del opened, seats, order, seated, before
+            for some in _runs(rows, SCORE_PAIRS):
+                head, pairs, rest = (np.concatenate([row[name] for row in some]) for name in ("heads", "pairs", "rest"))
+                owner = np.repeat(np.arange(len(head)), head["words"])
+                word, asked = pairs >> _UPPER, _names(pairs, rest)
                 at = np.searchsorted(known_words[:-1], word)
                 at[known_words[at] != word] = last_word
-                place = np.searchsorted(known_pairs[:-1], pairs)
-                place[known_pairs[place] != pairs] = last_pair
-                backed = (S + D * tables_of[context]) / (S + customers_of[context]) * of_word[at]
-                chance = np.where(place < last_pair, of_pair[place], backed)
-                base = np.log10((times[at] + 0.1) / (total + 0.1 * (kinds + 1)))
+                place = np.searchsorted(names[:-1], asked)
+                place[names[place] != asked] = last_pair
+                chance = np.where(place < last_pair, of_pair[place], of_word[at]) + leaves[at]
                 sums = np.zeros(len(head), _SUMS)
-                sums["row"] = head["row"]
-                for name, x in (("n", 1), ("known", at < last_word), ("base", base), ("score", np.log10(chance))):
-                    sums[name] = np.bincount(owner, x * counts, len(head))
-                edges = [*np.flatnonzero(np.diff(portion)) + 1, len(portion)]
+                sums["place"] = head["place"]
+                for name, x in (("known", at < last_word), ("base", bases[at]), ("score", chance)):
+                    sums[name] = np.bincount(owner, x, len(head))
+                edges = np.cumsum([0, *[len(row["heads"]) for row in some]])
                 yield pa.RecordBatch.from_pydict(
-                    {"portion": portion[[0, *edges[:-1]]], "part": np.full(len(edges), part, np.int32)}
-                    | {"sums": [sums[a:b].tobytes() for a, b in zip([0, *edges[:-1]], edges, strict=True)]}
+                    {"portion": [row["portion"] for row in some], "part": pa.array([part] * len(some), pa.int32())}
+                    | {"sums": [sums[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]}
                 )
 
     return score
 
 
-def _sum_rows(sums: np.ndarray) -> np.ndarray:
-    found, where = np.unique(sums["row"], return_inverse=True)
-    total = np.zeros(len(found), _SUMS)
-    total["row"] = found
-    for name in _SUMS.names[1:]:
-        total[name] = np.bincount(where, sums[name], len(found))
-    return total
-
-
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each document of a portion, from what all blocks say of it."""
-    rows = ((portion, said) for batch in batches for portion, said in zip(batch["portion"].to_pylist(), batch["sums"], strict=True))
-    for _, some in groupby(rows, lambda x: x[0]):
-        total, waiting, size = np.zeros(0, _SUMS), [], 0
-        for _, said in some:
-            waiting.append(np.frombuffer(said.as_buffer(), _SUMS))
-            size += len(waiting[-1])
-            if size > SCORE_PAIRS:
-                total, waiting, size = _sum_rows(np.concatenate([total, *waiting])), [], 0
-        total = _sum_rows(np.concatenate([total, *waiting]))
-        yield pa.RecordBatch.from_pydict({name: total[name].astype(total[name].dtype.kind.replace("u", "i") + "8") for name in _SUMS.names})
+    """One row for each document of a portion, from what all blocks say of it; the names of its rows come first."""
+    said = ((portion, sums) for batch in batches for portion, sums in zip(batch["portion"].to_pylist(), batch["sums"], strict=True))
+    for _, some in groupby(said, lambda x: x[0]):
+        rows = np.frombuffer(next(some)[1].as_buffer(), "<i8")
+        total = {name: np.zeros(len(rows)) for name in _SUMS.names[1:]}
+        for _, buffer in some:
+            sums = np.frombuffer(buffer.as_buffer(), _SUMS)
+            for name, x in total.items():
+                x[sums["place"]] += sums[name]
+        yield pa.RecordBatch.from_pydict({"row": rows, "known": total["known"].astype(np.int64), "base": total["base"], "score": total["score"]})
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -464,6 +562,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
 
     Documents whose crc32 of the id as text is a multiple of 10 are held out, the others train.
     A text is its words in lower case (A-Z) and one end; NULL and empty texts are the end alone.
+    Very long texts are a portion each, and are dealt out word by word like all others.
     Rows with a NULL id train. Repeated rows each train and each get their score; further columns
     are ignored; no rows give no rows. If no row trains, every word is unseen.
     """
@@ -477,49 +576,45 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     )
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
-    schema = "part int, split int, portion long, heads binary, pairs binary, counts binary, seated binary"
-    training = rows.where("NOT held_out").select("text").mapInArrow(_deal_sums(parts), schema)
-    summed = training.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-        _sum_blocks(parts),
-        "part int, tokens long, pairs binary, counts binary, seated binary, context int, customers binary, tables binary, kinds long",
-    )
+    owners = -(-parts // OWNER_BLOCKS)
+
+    def with_totals(blocks: DataFrame) -> DataFrame:
+        asked = blocks.mapInArrow(_ask(owners), _SQL_ROW).repartition(owners, "ask").sortWithinPartitions("ask", "part")
+        return blocks.unionByName(asked.mapInArrow(_answer, _SQL_ROW))
+
+    def numbers_of(blocks: DataFrame) -> list[int]:
+        return [*blocks.agg(*[F.coalesce(F.sum(name), F.lit(0)) for name in ("tokens", "seats", "kinds")]).first()]
+
+    training = rows.where("NOT held_out").select("text").mapInArrow(_deal_sums(parts), _SQL_ROW)
+    summed = training.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_sum_blocks, _SQL_ROW)
     blocks = saved(spark, summed, "word-blocks")
-    totals = blocks.where("context IS NOT NULL").select("context", "customers", "tables", "kinds").repartition("context")
-    customers_of, tables_of, kinds = np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0
-    # CONTEXTS numbers of each kind.
-    for row in totals.mapInArrow(_add_totals, "context int, customers binary, tables binary, kinds long").collect():
-        at = slice(row["context"], row["context"] + SLICE)
-        customers_of[at], tables_of[at] = (np.frombuffer(row[name], np.float64) for name in ("customers", "tables"))
-        kinds += row["kinds"]
-    shared = spark.sparkContext.broadcast((customers_of, tables_of, kinds))
-    most = max(SPLIT_TOKENS, int(customers_of.sum()) // SPLIT_PART)
+    first = with_totals(blocks).repartition(parts, "part").sortWithinPartitions("part", "ask")
+    blocks = saved(spark, first.mapInArrow(_seat(owners, numbers_of(blocks)[1]), _SQL_ROW), "seated-blocks")
+    total, customers, kinds = numbers_of(blocks)
+    most = max(SPLIT_TOKENS, total // SPLIT_PART)
     # No more than SPLIT_PART blocks can have more than that part of all tokens each.
     heavy = blocks.where(F.col("tokens") > most).select("part", F.ceil(F.col("tokens") / most).cast("int").alias("splits"))
     splits = {row["part"]: row["splits"] for row in heavy.collect()}
-    everything = rows.select("row", "text").mapInArrow(_deal_rows(parts, splits), schema).withColumn("docs", F.lit(True))
     times = F.greatest(F.ceil(F.col("tokens") / most), F.lit(1)).cast("int")
-    sampled = blocks.where("part IS NOT NULL").select(
-        "part", F.explode(F.sequence(F.lit(0), times - 1)).alias("split"), F.lit(0).cast("long").alias("portion"),
-        F.lit(b"").alias("heads"), "pairs", "counts", "seated", F.lit(False).alias("docs"),
-    )
-    everything = sampled.unionByName(everything).repartition(parts + sum(splits.values()), "part", "split")
-    everything = everything.sortWithinPartitions("part", "split", "docs").drop("docs")
-    said = everything.mapInArrow(_score(shared), "portion long, part int, sums binary").repartition("portion")
-    partial = said.sortWithinPartitions("portion", "part").mapInArrow(
-        _gather, "row long, n long, known long, base double, score double"
+    sampled = with_totals(blocks).withColumn("split", F.explode(F.sequence(F.lit(0), times - 1)))
+    everything = sampled.unionByName(rows.select("row", "text").mapInArrow(_deal_rows(parts, splits), _SQL_ROW))
+    everything = everything.repartition(parts + sum(splits.values()), "part", "split").sortWithinPartitions("part", "split", "ask")
+    said = everything.mapInArrow(_score(owners, total, customers, kinds), "portion long, part int, sums binary")
+    partial = said.repartition("portion").sortWithinPartitions("portion", "part").mapInArrow(
+        _gather, "row long, known long, base double, score double"
     )
-    names = ("n", "known", "base", "score")
-    summed = saved(spark, partial.groupBy("row").agg(*[F.sum(c).alias(f"_{c}") for c in names]), "scores")
+    sums = [F.sum(c).alias(f"_{c}") for c in ("known", "base", "score")]
+    partial = saved(spark, partial.groupBy("row").agg(*sums, F.count(F.lit(1)).alias("_rows")), "scores")
     light = rows.select("id", "row", "held_out", (word_count(F.col("text")) + 1).alias("n_tokens"))
     # Equal rows have summed up together; each takes its part.
-    share = F.col("n_tokens") / F.col("_n")
-    return light.join(summed, "row").select(
+    score = F.col("_score") / F.col("_rows")
+    return light.join(partial, "row").select(
         F.col("id").alias(id_column),
         "held_out",
         "n_tokens",
-        F.round(F.col("_known") * share).cast("long").alias("n_known"),
-        F.lit(int(customers_of.sum())).cast("long").alias("train_tokens"),
-        (F.col("_base") * share).alias("base_score"),
-        (F.col("_score") * share).alias("score"),
-        F.pow(F.lit(10.0), -F.col("_score") / F.col("_n")).alias("perplexity"),
+        F.round(F.col("_known") / F.col("_rows")).cast("long").alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("_base") / F.col("_rows")).alias("base_score"),
+        score.alias("score"),
+        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )

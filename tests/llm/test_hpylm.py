@@ -31,7 +31,7 @@ def one_by_one(c, sweeps, seed=0):
 
 def drawn(c, sweeps, here=HERE, word=WORD, everyone=EVERYONE):
     """The same by sweeps of ``Seating``; a second pair holds the word's other tables."""
-    seats = Seating(np.array([7 << 16 | 3, 7 << 16 | 4], np.uint64), np.array([c, word]), 1, np.array([1, word]))
+    seats = Seating(np.array([7, 7], np.uint64), np.array([3, 4]), np.array([c, word]), 1, np.array([1, word]))
     seen = []
     for _ in range(sweeps):
         seats.tables[1] = word  # what the parent has besides stays the same
