@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import saved, ship_package, word_count
 
 #: Text for which the words of one block are sampled together, and blocks to one task that adds up totals of restaurants.
-PART_BYTES, OWNER_BLOCKS = 8 << 20, 4
+PART_BYTES, OWNER_BLOCKS = 8 << 20, 2
 #: Discount and strength of the restaurants and of the parent.
 D, S, D0, S0 = 0.7, 20.0, 0.6, 10.0
 #: Sweeps before the totals are summed, before samples count, and that count.
@@ -104,17 +105,15 @@ def _names(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-#: How many words of which document of a portion follow.
-_HEAD = np.dtype([("place", "<u4"), ("words", "<u4")])
 #: What a block says of the words of a document that it has.
 _SUMS = np.dtype([("place", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
 #: The sums of a block, answers to it (by who answers) and documents, in this order.
 BLOCK, DOCUMENTS = -1, (1 << 31) - 1
 _LONGS = ("tokens", "seats", "kinds", "portion")
-_BINARIES = {"heads": _HEAD, "pairs": np.dtype("<u8"), "rest": np.dtype("<u4"), "counts": np.dtype("<i8"), "tables": np.dtype("<i8")}
+_BINARIES = {"places": np.dtype("<u4"), "pairs": np.dtype("<u8"), "rest": np.dtype("<u4"), "counts": np.dtype("<i8"), "tables": np.dtype("<i8")}
 #: Rows between tasks. A block has pairs, counts and tables; an answer the totals of restaurants in ``counts`` and ``tables``;
-#: a question the same of the block that asks, with the restaurants in ``pairs``; documents have heads and pairs.
+#: a question the same of the block that asks, with the restaurants in ``pairs``; documents have pairs in order and the place of each one's document in the portion.
 _ROW = pa.schema(
     [(name, pa.int32()) for name in ("part", "split", "ask")]
     + [(name, pa.int64()) for name in _LONGS]
@@ -125,9 +124,35 @@ _SQL_ROW = ", ".join(
 )
 
 
+def _packed(array: np.ndarray) -> bytes:
+    """The bytes of all numbers, most of which have theirs in common, plane by plane."""
+    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _unpacked(packed: bytes | pa.Buffer, kind: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _stored(name: str, array: np.ndarray) -> bytes:
+    """An array of a row; of pairs, mostly in order, the differences."""
+    array = array.astype(_BINARIES[name], copy=False)
+    return _packed(np.diff(array, prepend=array.dtype.type(0)) if name == "pairs" else array) if len(array) else b""
+
+
+def _read(name: str, stored: bytes | pa.Buffer) -> np.ndarray:
+    if not len(stored):
+        return np.zeros(0, _BINARIES[name])
+    array = _unpacked(stored, _BINARIES[name])
+    return np.cumsum(array, dtype=array.dtype) if name == "pairs" else array
+
+
 def _rows(rows: list[dict]) -> pa.RecordBatch:
+    """Rows of numbers and arrays."""
     empty = dict.fromkeys(_ROW.names, 0) | dict.fromkeys(_BINARIES, b"")
-    return pa.RecordBatch.from_pylist([empty | row for row in rows], _ROW)
+    stored = ({name: _stored(name, x) if isinstance(x, np.ndarray) else x for name, x in row.items()} for row in rows)
+    return pa.RecordBatch.from_pylist([empty | row for row in stored], _ROW)
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -142,9 +167,22 @@ def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+def _in_order(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The order by both numbers: by the first, then what ties in it by the second."""
+    order = np.argsort(pairs)
+    sorted_pairs = pairs[order]
+    same = sorted_pairs[1:] == sorted_pairs[:-1]
+    tied = np.flatnonzero(np.append(False, same) | np.append(same, False))
+    if len(tied):
+        some = order[tied]
+        group = np.cumsum(np.append(True, pairs[some[1:]] != pairs[some[:-1]])).astype(np.uint64)
+        order[tied] = some[np.argsort(group << _LOWER | rest[some])]
+    return order
+
+
 def _sum_pairs(pairs: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> Pairs:
     """Distinct pairs in order, with their counts."""
-    order = np.lexsort((rest, pairs))
+    order = _in_order(pairs, rest)
     pairs, rest = pairs[order], rest[order]
     new = np.ones(len(pairs), bool)
     new[1:] = (pairs[1:] != pairs[:-1]) | (rest[1:] != rest[:-1])
@@ -160,7 +198,7 @@ def _deal_sums(parts: int):
         pairs, rest, counts = _sum_pairs(pairs, rest, np.ones(len(pairs), np.int64))
         order, edges = _dealt(pairs >> _UPPER, parts)
         some = ((p, order[edges[p] : edges[p + 1]]) for p in np.flatnonzero(np.diff(edges)).tolist())
-        return _rows([{"part": p, "pairs": pairs[k].tobytes(), "rest": rest[k].tobytes(), "counts": counts[k].tobytes()} for p, k in some])
+        return _rows([{"part": p, "pairs": pairs[k], "rest": rest[k], "counts": counts[k]} for p, k in some])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, size = [], 0
@@ -186,17 +224,16 @@ def _deal_rows(parts: int, splits: dict[int, int]):
             texts = [numbers(text.as_py()) for text in portion["text"]]
             words, owner = np.concatenate(texts), np.repeat(np.arange(len(texts), dtype=np.uint32), [len(w) for w in texts])
             pairs, rest = _joined(words, np.concatenate([contexts(w) for w in texts]))
-            order, edges = _dealt(words, parts)
+            ordered = np.argsort(pairs)
+            pairs, rest, owner = pairs[ordered], rest[ordered], owner[ordered]
+            order, edges = _dealt(pairs >> _UPPER, parts)
             spread = xxhash.xxh3_64_intdigest(number.to_bytes(8, "little"))
             about = {"ask": DOCUMENTS, "portion": number}
-            rows = [about | {"part": -1, "split": spread % parts, "heads": portion["row"].to_numpy().tobytes()}]
+            rows = [about | {"part": -1, "split": spread % parts, "counts": portion["row"].to_numpy()}]
             for p in np.flatnonzero(np.diff(edges)).tolist():
                 some = order[edges[p] : edges[p + 1]]
-                starts = np.flatnonzero(np.diff(owner[some], prepend=np.uint32(len(texts))))
-                heads = np.zeros(len(starts), _HEAD)
-                heads["place"], heads["words"] = owner[some][starts], np.diff(starts, append=len(some))
-                row = {"part": p, "split": spread % splits.get(p, 1), "heads": heads.tobytes()}
-                rows.append(about | row | {"pairs": pairs[some].tobytes(), "rest": rest[some].tobytes()})
+                row = {"part": p, "split": spread % splits.get(p, 1)}
+                rows.append(about | row | {"places": owner[some], "pairs": pairs[some], "rest": rest[some]})
             yield _rows(rows)
 
     return deal
@@ -358,14 +395,14 @@ Row = dict[str, np.ndarray | int]
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Iterator[Row]]]:
-    """The rows of each part and split in turn; arrays are views of what Spark has sent."""
+    """The rows of each part and split in turn."""
 
     def rows() -> Iterator[Row]:
         for batch in batches:
             plain = {name: batch[name].to_pylist() for name in _ROW.names if name not in _BINARIES}
             for place in range(len(batch)):
                 row = {name: values[place] for name, values in plain.items()}
-                yield row | {name: np.frombuffer(batch[name][place].as_buffer(), kind) for name, kind in _BINARIES.items()}
+                yield row | {name: _read(name, batch[name][place].as_buffer()) for name in _BINARIES}
 
     yield from groupby(rows(), lambda row: (row["part"], row["split"]))
 
@@ -386,9 +423,8 @@ def _runs(rows: Iterator[Row], most: int) -> Iterator[list[Row]]:
 def _block_row(part: int, pairs: np.ndarray, rest: np.ndarray, counts: np.ndarray, tables: np.ndarray) -> pa.RecordBatch:
     about = {"part": part, "ask": BLOCK, "tokens": int(counts.sum()), "seats": int(tables.sum())}
     words = pairs >> _UPPER
-    arrays = {"pairs": pairs, "rest": rest, "counts": counts.astype("<i8"), "tables": tables.astype("<i8")}
     kinds = int(np.count_nonzero(np.diff(words))) + 1
-    return _rows([about | {"kinds": kinds} | {name: array.tobytes() for name, array in arrays.items()}])
+    return _rows([about | {"kinds": kinds, "pairs": pairs, "rest": rest, "counts": counts, "tables": tables}])
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,13 +452,12 @@ def _ask(owners: int):
             for block in rows:
                 wanted, order, edges = _restaurants(block, owners)
                 at = np.searchsorted(wanted, _context_of(block["pairs"], block["rest"]))
-                customers, tables = (np.bincount(at, block[name], len(wanted)).astype("<i8") for name in ("counts", "tables"))
+                customers, tables = (np.bincount(at, block[name], len(wanted)).astype(np.int64) for name in ("counts", "tables"))
                 asked = []
                 for owner in np.flatnonzero(np.diff(edges)).tolist():
                     some = order[edges[owner] : edges[owner + 1]]
-                    arrays = {"pairs": wanted[some], "counts": customers[some], "tables": tables[some]}
                     about = {"part": part, "ask": owner, "tokens": block["tokens"]}
-                    asked.append(about | {name: array.tobytes() for name, array in arrays.items()})
+                    asked.append(about | {"pairs": wanted[some], "counts": customers[some], "tables": tables[some]})
                 yield _rows(asked)
 
     return ask
@@ -437,17 +472,18 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for owner, some in groupby(asked(), lambda row: row["ask"]):
         rows = list(some)
-        names, at = np.unique(np.concatenate([np.frombuffer(row["pairs"], "<u8") for row in rows]), return_inverse=True)
-        totals = {
-            name: np.bincount(at, np.concatenate([np.frombuffer(row[name], "<i8") for row in rows]), len(names)).astype("<i8")
-            for name in ("counts", "tables")
-        }
-        start = 0
+        names, at = np.unique(np.concatenate([_read("pairs", row.pop("pairs")) for row in rows]), return_inverse=True)
+        totals = {"counts": np.zeros(len(names), np.int64), "tables": np.zeros(len(names), np.int64)}
+        edges = [0]
         for row in rows:
-            end = start + len(row["pairs"]) // 8
+            for name, total in totals.items():
+                # A block names each restaurant once.
+                said = _read(name, row.pop(name))
+                total[at[edges[-1] : edges[-1] + len(said)]] += said
+            edges.append(edges[-1] + len(said))
+        for row, start, end in zip(rows, edges[:-1], edges[1:], strict=True):
             about = {"part": row["part"], "ask": owner, "tokens": row["tokens"]}
-            yield _rows([about | {name: array[at[start:end]].tobytes() for name, array in totals.items()}])
-            start = end
+            yield _rows([about | {name: total[at[start:end]] for name, total in totals.items()}])
 
 
 class _Opened:
@@ -498,7 +534,7 @@ def _score(owners: int, total: int, customers: int, kinds: int):
         for (part, _), rows in _by_block(batches):
             if part < 0:
                 for row in rows:
-                    yield pa.RecordBatch.from_pydict({"portion": [row["portion"]], "part": pa.array([-1], pa.int32()), "sums": [row["heads"].tobytes()]})
+                    yield pa.RecordBatch.from_pydict({"portion": [row["portion"]], "part": pa.array([-1], pa.int32()), "sums": [row["counts"].tobytes()]})
                 continue
             opened = _Opened(rows, owners, part + 1_000_003)
             seats = opened.seats
@@ -523,22 +559,24 @@ def _score(owners: int, total: int, customers: int, kinds: int):
             rows = opened.rows
             del opened, seats, order, seated, before
             for some in _runs(rows, SCORE_PAIRS):
-                head, pairs, rest = (np.concatenate([row[name] for row in some]) for name in ("heads", "pairs", "rest"))
-                owner = np.repeat(np.arange(len(head)), head["words"])
+                pairs, rest = (np.concatenate([row[name] for row in some]) for name in ("pairs", "rest"))
+                edges = np.cumsum([0, *[int(row["places"].max()) + 1 for row in some]])
+                owner = np.concatenate([row["places"] + edge for row, edge in zip(some, edges[:-1], strict=True)])
                 word, asked = pairs >> _UPPER, _names(pairs, rest)
                 at = np.searchsorted(known_words[:-1], word)
                 at[known_words[at] != word] = last_word
                 place = np.searchsorted(names[:-1], asked)
                 place[names[place] != asked] = last_pair
                 chance = np.where(place < last_pair, of_pair[place], of_word[at]) + leaves[at]
-                sums = np.zeros(len(head), _SUMS)
-                sums["place"] = head["place"]
+                here = np.flatnonzero(np.bincount(owner))
+                cuts = np.searchsorted(here, edges)
+                sums = np.zeros(len(here), _SUMS)
+                sums["place"] = here - np.repeat(edges[:-1], np.diff(cuts))
                 for name, x in (("known", at < last_word), ("base", bases[at]), ("score", chance)):
-                    sums[name] = np.bincount(owner, x, len(head))
-                edges = np.cumsum([0, *[len(row["heads"]) for row in some]])
+                    sums[name] = np.bincount(owner, x)[here]
                 yield pa.RecordBatch.from_pydict(
                     {"portion": [row["portion"] for row in some], "part": pa.array([part] * len(some), pa.int32())}
-                    | {"sums": [sums[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]}
+                    | {"sums": [_packed(sums[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]}
                 )
 
     return score
@@ -551,7 +589,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.frombuffer(next(some)[1].as_buffer(), "<i8")
         total = {name: np.zeros(len(rows)) for name in _SUMS.names[1:]}
         for _, buffer in some:
-            sums = np.frombuffer(buffer.as_buffer(), _SUMS)
+            sums = _unpacked(buffer.as_buffer(), _SUMS)
             for name, x in total.items():
                 x[sums["place"]] += sums[name]
         yield pa.RecordBatch.from_pydict({"row": rows, "known": total["known"].astype(np.int64), "base": total["base"], "score": total["score"]})
