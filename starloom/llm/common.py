@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -48,11 +50,33 @@ def remove_tables(spark: SparkSession, paths: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Spark's setting for removing the shuffle files of a query once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside leave no shuffle files behind, which else stay until the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def saved(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """The same rows, written to the shared folder and read back: lost executors can't undo them."""
+    """The same rows, written to the shared folder and read back: lost executors can't undo them.
+
+    The shuffles on the way are removed when the table has been written.
+    """
     path = scratch_path(spark, name)
     SAVED.append(path)
-    df.write.option("compression", compression).parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
