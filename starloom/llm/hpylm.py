@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import saved, ship_package, word_count
+from starloom.llm.common import SAVED, remove_tables, saved, ship_package, word_count
 
 #: Text for which the words of one block are sampled together, and blocks to one task that adds up totals of restaurants.
 PART_BYTES, OWNER_BLOCKS = 8 << 20, 2
@@ -136,16 +136,16 @@ def _unpacked(packed: bytes | pa.Buffer, kind: np.dtype) -> np.ndarray:
 
 
 def _stored(name: str, array: np.ndarray) -> bytes:
-    """An array of a row; of pairs, mostly in order, the differences."""
+    """An array of a row; of pairs, which are in order, the differences."""
     array = array.astype(_BINARIES[name], copy=False)
-    return _packed(np.diff(array, prepend=array.dtype.type(0)) if name == "pairs" else array) if len(array) else b""
+    return _packed(np.diff(array, prepend=array.dtype.type(0)) if name in ("pairs", "rest") else array) if len(array) else b""
 
 
 def _read(name: str, stored: bytes | pa.Buffer) -> np.ndarray:
     if not len(stored):
         return np.zeros(0, _BINARIES[name])
     array = _unpacked(stored, _BINARIES[name])
-    return np.cumsum(array, dtype=array.dtype) if name == "pairs" else array
+    return np.cumsum(array, dtype=array.dtype) if name in ("pairs", "rest") else array
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
@@ -224,7 +224,7 @@ def _deal_rows(parts: int, splits: dict[int, int]):
             texts = [numbers(text.as_py()) for text in portion["text"]]
             words, owner = np.concatenate(texts), np.repeat(np.arange(len(texts), dtype=np.uint32), [len(w) for w in texts])
             pairs, rest = _joined(words, np.concatenate([contexts(w) for w in texts]))
-            ordered = np.argsort(pairs)
+            ordered = _in_order(pairs, rest)
             pairs, rest, owner = pairs[ordered], rest[ordered], owner[ordered]
             order, edges = _dealt(pairs >> _UPPER, parts)
             spread = xxhash.xxh3_64_intdigest(number.to_bytes(8, "little"))
@@ -628,6 +628,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     blocks = saved(spark, summed, "word-blocks")
     first = with_totals(blocks).repartition(parts, "part").sortWithinPartitions("part", "ask")
     blocks = saved(spark, first.mapInArrow(_seat(owners, numbers_of(blocks)[1]), _SQL_ROW), "seated-blocks")
+    remove_tables(spark, SAVED[-2:-1])  # the blocks before they were seated
     total, customers, kinds = numbers_of(blocks)
     most = max(SPLIT_TOKENS, total // SPLIT_PART)
     # No more than SPLIT_PART blocks can have more than that part of all tokens each.
