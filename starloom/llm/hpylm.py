@@ -56,7 +56,7 @@ FIRST, BURN, SAMPLES = 4, 3, 4
 WHOLE_ROWS, TRIES = 2048, 8
 
 #: Text that a task takes apart at once, and pairs that it sums up or scores at once.
-DEAL_BYTES, SUM_PAIRS, SCORE_PAIRS = 4 << 20, 1 << 20, 1 << 18
+DEAL_BYTES, SUM_PAIRS, SCORE_PAIRS = 8 << 20, 1 << 20, 1 << 18
 
 #: A block of more training tokens, and of more than this part of all, is split for scoring.
 SPLIT_TOKENS, SPLIT_PART = 4 << 20, 4096
@@ -108,6 +108,19 @@ def _names(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
 #: What a block says of the words of a document that it has.
 _SUMS = np.dtype([("place", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
+def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The places of numbers among known ones, which are in order, or one past the last.
+
+    They are looked for in their order, which is several times faster.
+    """
+    order = np.argsort(asked)
+    found = np.searchsorted(known, asked[order])
+    found[np.append(known, np.uint64(0))[found] != asked[order]] = len(known)
+    places = np.empty_like(found)
+    places[order] = found
+    return places
+
+
 #: The sums of a block, answers to it (by who answers) and documents, in this order.
 BLOCK, DOCUMENTS = -1, (1 << 31) - 1
 _LONGS = ("tokens", "seats", "kinds", "portion")
@@ -437,11 +450,12 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _block_row(part, *summed, np.ones(len(summed[0]), np.int64))
 
 
-def _restaurants(block: Row, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Restaurants that a block asks for, those of its own words included; their order by owner and its edges."""
-    before = _context_of(block["pairs"], block["rest"])
-    wanted = np.unique(np.concatenate([before, block["pairs"] >> _UPPER]))
-    return wanted, *_dealt(wanted, owners)
+def _restaurants(block: Row, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Restaurants that a block asks for, those of its own words included, and of each pair; their order by owner and its edges."""
+    words = block["pairs"] >> _UPPER
+    words = words[np.flatnonzero(np.diff(words, prepend=np.uint64(0)))]
+    wanted, at = np.unique(np.concatenate([_context_of(block["pairs"], block["rest"]), words]), return_inverse=True)
+    return wanted, at[: len(block["pairs"])], *_dealt(wanted, owners)
 
 
 def _ask(owners: int):
@@ -450,8 +464,7 @@ def _ask(owners: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (part, _), rows in _by_block(batches):
             for block in rows:
-                wanted, order, edges = _restaurants(block, owners)
-                at = np.searchsorted(wanted, _context_of(block["pairs"], block["rest"]))
+                wanted, at, order, edges = _restaurants(block, owners)
                 customers, tables = (np.bincount(at, block[name], len(wanted)).astype(np.int64) for name in ("counts", "tables"))
                 asked = []
                 for owner in np.flatnonzero(np.diff(edges)).tolist():
@@ -496,7 +509,7 @@ class _Opened:
             self.rows = chain([first], self.rows)
             first = {name: np.zeros(0, kind) for name, kind in _BINARIES.items()}
         self.block = first
-        self.wanted, order, edges = _restaurants(first, owners)
+        self.wanted, at, order, edges = _restaurants(first, owners)
         self.customers_of, self.tables_of = np.zeros((2, len(self.wanted)))
         for owner in np.flatnonzero(np.diff(edges)).tolist():
             some, answer = order[edges[owner] : edges[owner + 1]], next(self.rows)
@@ -504,7 +517,6 @@ class _Opened:
                 raise RuntimeError(f"block without the answer of {owner}")
             self.customers_of[some], self.tables_of[some] = answer["counts"], answer["tables"]
         self.words = first["pairs"] >> _UPPER
-        at = np.searchsorted(self.wanted, _context_of(first["pairs"], first["rest"]))
         self.seats = Seating(self.words, at, first["counts"], seed, first["tables"])
 
     def backing(self, at: np.ndarray) -> np.ndarray:
@@ -548,12 +560,12 @@ def _score(owners: int, total: int, customers: int, kinds: int):
                     of_word += base / SAMPLES
             times = np.append(np.bincount(seats.word, seats.counts, len(seats.words)), 0.0)
             # One entry more, for what training lacks: such a word is no restaurant either.
-            known_words, last_word = np.append(seats.words, np.uint64(0)), len(seats.words)
-            leaves = np.append(np.log10(opened.backing(np.searchsorted(opened.wanted, seats.words))), 0.0)
+            words, last_word = seats.words, len(seats.words)
+            leaves = np.append(np.log10(opened.backing(np.searchsorted(opened.wanted, words))), 0.0)
             of_word = np.log10(np.append(of_word, unseen))
             names = _names(opened.block["pairs"], opened.block["rest"])
             order = np.argsort(names)
-            names, last_pair = np.append(names[order], np.uint64(0)), len(order)
+            names, last_pair = names[order], len(order)
             of_pair = np.append((np.log10(seated) - np.log10(opened.backing(seats.context)))[order], 0.0)
             bases = np.log10((times + 0.1) / (total + 0.1 * (kinds + 1)))
             rows = opened.rows
@@ -562,11 +574,7 @@ def _score(owners: int, total: int, customers: int, kinds: int):
                 pairs, rest = (np.concatenate([row[name] for row in some]) for name in ("pairs", "rest"))
                 edges = np.cumsum([0, *[int(row["places"].max()) + 1 for row in some]])
                 owner = np.concatenate([row["places"] + edge for row, edge in zip(some, edges[:-1], strict=True)])
-                word, asked = pairs >> _UPPER, _names(pairs, rest)
-                at = np.searchsorted(known_words[:-1], word)
-                at[known_words[at] != word] = last_word
-                place = np.searchsorted(names[:-1], asked)
-                place[names[place] != asked] = last_pair
+                at, place = _places(words, pairs >> _UPPER), _places(names, _names(pairs, rest))
                 chance = np.where(place < last_pair, of_pair[place], of_word[at]) + leaves[at]
                 here = np.flatnonzero(np.bincount(owner))
                 cuts = np.searchsorted(here, edges)
