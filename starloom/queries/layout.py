@@ -19,6 +19,7 @@ from starloom.queries.storage import write_delimited
 from starloom.session import scratch_path
 from starloom.sources import (
     append_table,
+    bucket_count,
     file_ranges,
     land_delimited,
     read_parquet,
@@ -103,8 +104,9 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dedupe, star join and anti join on one key of two bucketed tables: shuffled when written, not after."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    lines = write_bucketed(lines, scratch_path(spark, "lines-by-order"), ["l_orderkey"], 8)
-    orders = write_bucketed(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey"], 8)
+    buckets = bucket_count(lines, orders)
+    lines = write_bucketed(lines, scratch_path(spark, "lines-by-order"), ["l_orderkey"], buckets)
+    orders = write_bucketed(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey"], buckets)
     firsts = one_row_per_key(lines, ["l_orderkey"])
     joined = star_join(firsts, [Link(orders, "l_orderkey", "o_orderkey", "ordr", {"customer": "o_custkey"}, unique=True)])
     known = orders.where("o_orderstatus = 'F'")

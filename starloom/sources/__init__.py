@@ -1,6 +1,6 @@
 """Tables in and out."""
 
-from starloom.sources.bucketed import forget_bucketed, read_bucketed, write_bucketed
+from starloom.sources.bucketed import bucket_count, forget_bucketed, read_bucketed, write_bucketed
 from starloom.sources.landing import Landed, land_delimited
 from starloom.sources.ordered import file_ranges, write_ordered
 from starloom.sources.readers import (
@@ -19,6 +19,7 @@ from starloom.sources.writers import append_table, rows_written, write_table
 __all__ = [
     "Landed",
     "append_table",
+    "bucket_count",
     "checked_delimited",
     "file_ranges",
     "forget_bucketed",

@@ -21,9 +21,20 @@ from starloom.sources.readers import read_parquet
 #: A bucket this many times the mean, and at least so large, holds a hot key.
 HOT_FACTOR, HOT_BYTES = 4, 256 << 20
 
+#: Rows that a bucket should hold. A task sorts a whole bucket, so they bound its memory.
+BUCKET_ROWS = 500_000
+
 _BUCKET_IN_NAME = r"_(\d+)(?:\.c\d+)?\.[^/]*parquet$"
 
 
+def bucket_count(*tables: DataFrame, least: int = 8, rows: int = BUCKET_ROWS) -> int:
+    """Buckets for tables that are to be joined on their key: the largest fills each with about ``rows``.
+
+    With a fixed number, a bucket and the memory of the task that sorts it grow with the table.
+    """
+    return max(least, *(-(-table.count() // rows) for table in tables))
+
+
 def write_bucketed(
     df: DataFrame, path: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] | None = None
 ) -> DataFrame:

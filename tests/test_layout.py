@@ -1,6 +1,7 @@
 """Landing with rejects, buckets, ordered files, kept profiles, and scans pruned by dimensions."""
 
 import math
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,10 @@ from pyspark.sql import types as T
 from starloom.operators.duplicates import one_row_per_key
 from starloom.operators.joins import Link, star_join, without_match
 from starloom.operators.kept_profile import keep_profile, kept_profile
+from starloom.queries import layout
 from starloom.session import build_session
 from starloom.sources import (
+    bucket_count,
     checked_delimited,
     file_ranges,
     forget_bucketed,
@@ -121,6 +124,14 @@ def test_buckets_are_one_file_each_and_known_to_a_new_session(spark, bucketed, t
     assert again.count() == 3000
 
 
+def test_buckets_grow_with_the_larger_table(spark, tmp_path, monkeypatch):
+    assert bucket_count(spark.range(3000), spark.range(10)) == 8
+    assert bucket_count(spark.range(10), spark.range(3000), rows=100) == 30
+    monkeypatch.setattr(layout, "bucket_count", partial(bucket_count, rows=500))
+    found = layout.bucketed_join(spark, "/root/testdata/sf0.001")
+    assert "SelectedBucketsCount: 12 out of 12" in physical(found)
+
+
 def test_a_hot_bucket_is_read_as_a_plain_table(spark, tmp_path):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("x"))
     path = str(tmp_path / "hot")
