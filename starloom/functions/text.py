@@ -65,8 +65,13 @@ def blank_unknowns(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
         return text
     pattern = ("(?md)" if standard.newline_only else "(?m)") + "|".join(branches)
     unknown = standard.unknown.replace("\\", "\\\\").replace("$", "\\$")
-    marked = reduce(or_, [text.contains(F.lit(marker)) for marker in standard.line_markers + standard.tail_markers])
-    return F.when(marked, F.regexp_replace(text, F.lit(pattern), F.lit(unknown))).otherwise(text)
+    return F.when(has_markers(text, standard), F.regexp_replace(text, F.lit(pattern), F.lit(unknown))).otherwise(text)
+
+
+def has_markers(text: Column, standard: TextStandard = TABLE_TEXT) -> Column:
+    """Whether any marker of ``standard`` stands in a text."""
+    markers = standard.line_markers + standard.tail_markers
+    return reduce(or_, [text.contains(F.lit(marker)) for marker in markers], F.lit(False))
 
 
 def _any_of(markers: tuple[str, ...]) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.text import TABLE_TEXT, TextStandard, bare_text, known_text
+from starloom.functions.text import TABLE_TEXT, TextStandard, bare_text, has_markers, known_text
 from starloom.values import UNKNOWN_NUMBER, UNKNOWN_TEXT
 
 
@@ -36,19 +36,30 @@ def standardise_strings(
     It takes two projections. The first computes each bare text once, and the second, which
     looks at it several times, only names it.
 
-    ``all_wanted`` says that all columns are going to be read. Many columns are then standardised
-    as the elements of one array, by one short piece of code, which takes half the time. The
-    price is that Spark can no longer leave out those that nobody reads.
+    ``all_wanted`` says that all columns are going to be read. Many columns are then searched for
+    markers as one text, once for a row instead of once for each column, and only in rows that
+    hold one are unknowns replaced, as the elements of an array. The price is that Spark can no
+    longer leave out those that nobody reads.
     """
     chosen = set(string_columns(df) if columns is None else columns)
     named = [name for name in df.columns if name in chosen]
-    others = [name for name in df.columns if name not in chosen]
     if all_wanted and len(named) >= MANY_COLUMNS:
-        bare = F.transform(F.array(*(quoted(name) for name in named)), lambda text: bare_text(text, standard))
-        texts = F.transform(bare, lambda text: known_text(text, standard)).alias("__texts")
+        bare = df.select(
+            *(bare_text(quoted(name), standard).alias(name) if name in chosen else quoted(name) for name in df.columns)
+        )
+        # Texts that together hold a marker over their border only cost a look at each.
+        marked = bare.withColumn("__marked", has_markers(F.concat_ws("\n", *map(quoted, named)), standard))
+        known = F.transform(F.array(*map(quoted, named)), lambda text: known_text(text, standard))
+        searched = marked.withColumn("__known", F.when(F.col("__marked"), known))
         place = {name: place for place, name in enumerate(named)}
-        return df.select(*(quoted(name) for name in others), texts).select(
-            *(F.get("__texts", F.lit(place[name])).alias(name) if name in place else quoted(name) for name in df.columns)
+        unknown = [F.lit(standard.unknown)] if standard.fill_null else []
+        return searched.select(
+            *(
+                F.coalesce(F.get("__known", F.lit(place[name])), quoted(name), *unknown).alias(name)
+                if name in place
+                else quoted(name)
+                for name in df.columns
+            )
         )
 
     def each(step: Callable[[Column, TextStandard], Column], table: DataFrame) -> DataFrame:

@@ -141,3 +141,11 @@ def test_many_columns_at_once(spark):
     assert together.columns == df.columns
     kept = standardise_strings(df, LABEL_TEXT, all_wanted=True)
     assert values(kept.select("`t.1`", "n")) == [(None, 1)]
+
+
+def test_unknowns_are_replaced_in_marked_rows_only(spark):
+    rows = [("no", "port", "in", "valid", "no", "x", " port"), ("a", "b", "c", None, "d", "no port", "e.")]
+    df = spark.createDataFrame(rows, ", ".join(f"t{i} string" for i in range(7)))
+    together = standardise_strings(df, all_wanted=True)
+    assert "__marked" in plan_of(together)
+    assert values(together) == [("NO", "PORT", "IN", "VALID", "NO", "X", "PORT"), ("A", "B", "C", UNKNOWN, "D", UNKNOWN, "E")]
