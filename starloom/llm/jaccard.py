@@ -89,6 +89,18 @@ def _unpack(packed: bytes) -> np.ndarray:
     return table.view("<u8").ravel()
 
 
+def _pack_sorted(tokens: np.ndarray) -> bytes:
+    """Sorted tokens as their differences, byte plane by byte plane: the planes of zeros compress away."""
+    steps = np.diff(tokens, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+
+
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    table = np.zeros((len(packed) // 6, 8), np.uint8)
+    table[:, :6] = np.frombuffer(packed, np.uint8).reshape(6, -1).T
+    return np.cumsum(table.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _name(words: int):
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,8 +127,8 @@ _MOST_SETS = 1 << 16
 def _deal(words: int, parts: int):
     """Each batch of documents becomes a row for each range of tokens.
 
-    A token goes with the two-byte number that its set has in the batch, whatever the number of
-    ranges; the names and sizes of sets go once, in the row of one range. The name of a batch is
+    Tokens go in their order, each with the two-byte number that its set has in the batch, whatever
+    the number of ranges; the names and sizes of sets go once, in the row of one range. The name of a batch is
     a hash of its sets. Names of sets are dealt out by their own ranges too, to find copies.
     """
 
@@ -127,7 +139,8 @@ def _deal(words: int, parts: int):
         batch = xxhash.xxh3_64_intdigest(about.tobytes()) >> 1
         owner = np.repeat(np.arange(len(sets)), about["n"]).astype("<u2")
         part = _part(tokens >> np.uint64(TOKEN_BITS - 32), parts)
-        order = np.argsort(part, kind="stable")
+        # Ranges follow the tokens.
+        order = np.argsort(tokens, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
         names = np.ascontiguousarray(about["node"])
         name_part = _part(names.view(np.uint64) >> np.uint64(32), parts)
@@ -135,7 +148,7 @@ def _deal(words: int, parts: int):
             chosen, named = order[edges[p] : edges[p + 1]], np.flatnonzero(name_part == p)
             here = about.tobytes() if p == batch % parts else b""
             if len(chosen) or len(named) or here:
-                row = {"part": [p], "batch": [batch], "sets": [here], "tokens": [_pack(tokens[chosen])]}
+                row = {"part": [p], "batch": [batch], "sets": [here], "tokens": [_pack_sorted(tokens[chosen])]}
                 row |= {"owners": [owner[chosen].tobytes()], "names": [names[named].tobytes()]}
                 yield pa.RecordBatch.from_pydict(row | {"named": [named.astype("<u2").tobytes()]}, _DEALT)
 
@@ -169,12 +182,25 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
 
 
 #: A token of a set of a batch: with the logarithm of the number of sets that have it, or ``_COPY``.
-_SHARED = np.dtype([("owner", "<u2"), ("rarity", "u1"), ("token", "u1", 6)])
+_SHARED = np.dtype([("owner", "<u2"), ("rarity", "u1"), ("token", "<u8")])
 _OUT = pa.schema([("batch", pa.int64()), ("sets", pa.binary()), ("shared", pa.binary())])
 #: In the place of a rarity: the set has the name of another, which stands for both.
 _COPY = 255
 
 
+def _pack_shared(shared: np.ndarray) -> bytes:
+    """Nine bytes for each, in the order of tokens."""
+    return shared["owner"].tobytes() + shared["rarity"].tobytes() + _pack_sorted(shared["token"])
+
+
+def _unpack_shared(packed: bytes) -> np.ndarray:
+    k = len(packed) // 9
+    shared = np.zeros(k, _SHARED)
+    shared["owner"], shared["rarity"] = np.frombuffer(packed, "<u2", k), np.frombuffer(packed, np.uint8, k, 2 * k)
+    shared["token"] = _unpack_sorted(packed[3 * k :])
+    return shared
+
+
 def _runs_of(values: np.ndarray) -> np.ndarray:
     """How often each of some sorted values occurs, at each of its places."""
     edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
@@ -193,7 +219,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """The place of the batch and the number of the set, in one number."""
             return np.concatenate([np.frombuffer(row[column], "<u2").astype(np.int64) | k << 16 for k, row in enumerate(rows)])
 
-        tokens, owner = np.concatenate([_unpack(row["tokens"]) for row in rows]), owners("owners")
+        tokens, owner = np.concatenate([_unpack_sorted(row["tokens"]) for row in rows]), owners("owners")
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
         sets_of = _runs_of(tokens)
@@ -205,15 +231,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, holder = node[order], holder[order]
         copies = holder[np.concatenate([[False], node[1:] == node[:-1]])] if len(node) else holder
         out = np.zeros(len(tokens) + len(copies), _SHARED)
-        out["owner"] = np.concatenate([owner, copies]) & 0xFFFF
-        out["rarity"][: len(tokens)], out["rarity"][len(tokens) :] = 4 * np.log2(np.maximum(sets_of, 1)), _COPY
-        out["token"][: len(tokens)] = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        batch = np.concatenate([owner, copies]) >> 16
+        # Copies have no token and come first, so that tokens go on in their order.
+        out["owner"] = np.concatenate([copies, owner]) & 0xFFFF
+        out["rarity"][: len(copies)], out["rarity"][len(copies) :] = _COPY, 4 * np.log2(np.maximum(sets_of, 1))
+        out["token"][len(copies) :] = tokens
+        batch = np.concatenate([copies, owner]) >> 16
         order = np.argsort(batch, kind="stable")
         out, edges = out[order], np.searchsorted(batch[order], np.arange(len(rows) + 1))
         for k, row in enumerate(rows):
             if edges[k] < edges[k + 1] or row["sets"]:
-                found = {"batch": [row["batch"]], "sets": [row["sets"]], "shared": [out[edges[k] : edges[k + 1]].tobytes()]}
+                found = {"batch": [row["batch"]], "sets": [row["sets"]], "shared": [_pack_shared(out[edges[k] : edges[k + 1]])]}
                 yield pa.RecordBatch.from_pydict(found, _OUT)
 
 
@@ -228,7 +255,7 @@ def _gather(percent: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, "batch"):
             about = np.frombuffer(next(row["sets"] for row in rows if row["sets"]), _SET)
-            shared = np.concatenate([np.frombuffer(row["shared"], _SHARED) for row in rows])
+            shared = np.concatenate([_unpack_shared(row["shared"]) for row in rows])
             copies = set(shared["owner"][shared["rarity"] == _COPY].tolist())
             shared = shared[shared["rarity"] != _COPY]
             shared = shared[np.argsort(shared["owner"], kind="stable")]
@@ -240,7 +267,7 @@ def _gather(percent: int):
                 owner = int(one["owner"][0])
                 node, n = about[owner].tolist()
                 if owner not in copies and b - a >= least_common(n, percent):
-                    tokens = _unpack(np.ascontiguousarray(one["token"]).tobytes())
+                    tokens = one["token"]
                     order = np.argsort(tokens)
                     out.append(
                         {"node": node, "n": n, "centre": -len(one) / n}
@@ -255,10 +282,10 @@ def _gather(percent: int):
     return gather
 
 
-def prefix(tokens: np.ndarray, rarity: np.ndarray, n: int, percent: int, order: int) -> np.ndarray:
+def prefix(tokens: np.ndarray, rarity: np.ndarray | None, n: int, percent: int, order: int) -> np.ndarray:
     """The prefix under an order: tokens of one set alone come first in all, and aren't here.
 
-    Order 0 goes on by rarity, the others by hashes of the token.
+    Order 0 goes on by rarity, the others, which need none, by hashes of the token.
     """
     length = len(tokens) - least_common(n, percent) + 1
     by = np.lexsort((tokens, rarity)) if order == 0 else np.argsort(_mixed(tokens, order))
@@ -289,10 +316,8 @@ def _verify(percent: int, orders: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for k, row in enumerate(batch.select(["n_a", "n_b", "rarity_a", "rarity_b", "tokens_a", "tokens_b"]).to_pylist()):
-                sides = []
-                for s in "ab":
-                    sides.append((_unpack(row[f"tokens_{s}"]), np.frombuffer(row[f"rarity_{s}"], np.uint8), row[f"n_{s}"]))
+            for k, row in enumerate(batch.select(["n_a", "n_b", "tokens_a", "tokens_b"]).to_pylist()):
+                sides = [(_unpack(row[f"tokens_{s}"]), None, row[f"n_{s}"]) for s in "ab"]
                 if all(
                     len(np.intersect1d(*[prefix(*side, percent, order) for side in sides], assume_unique=True))
                     for order in range(1, orders)
@@ -304,11 +329,11 @@ def _verify(percent: int, orders: int):
 
 
 def _compared(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs (a, b) that link. Rarity, which only the first order looks at, stays behind."""
     ends = saved(spark, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "paired-nodes")
-    paired = saved(spark, sets.drop("centre").join(ends, "node", "left_semi"), "paired-sets")
+    paired = saved(spark, sets.select("node", "n", "tokens").join(ends, "node", "left_semi"), "paired-sets")
     side = lambda s: paired.select(
-        F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "rarity", "tokens")]
+        F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "tokens")]
     )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return saved(spark, both.mapInArrow(_verify(percent, orders), "a long, b long"), "links")

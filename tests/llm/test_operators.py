@@ -247,3 +247,17 @@ def test_jaccard_against_all_pairs(spark, monkeypatch, settings, batch, part_byt
     found = sorted(map(tuple, jaccard_components(spark, df).collect()))
     wanted = sorted(brute_components(rows))
     assert any(a[0] != a[2] for a in wanted) and found == wanted
+
+
+def test_jaccard_tokens_in_order_pack_small():
+    from starloom.llm import jaccard
+
+    tokens = np.sort(np.random.default_rng(1).integers(0, 1 << 48, 50_000).astype(np.uint64))
+    for some in (tokens, tokens[:1], tokens[:0], np.array([0, 0, (1 << 48) - 1], np.uint64)):
+        assert jaccard._unpack_sorted(jaccard._pack_sorted(some)).tolist() == some.tolist()
+    # Of six bytes of a token the upper planes are hardly more than zeros.
+    assert len(zlib.compress(jaccard._pack_sorted(tokens), 1)) < 5.2 * len(tokens) < len(zlib.compress(jaccard._pack(tokens), 1))
+    shared = np.zeros(3, jaccard._SHARED)
+    shared["owner"], shared["rarity"], shared["token"] = [7, 65_535, 0], [255, 4, 8], [0, 5, (1 << 48) - 1]
+    packed = jaccard._pack_shared(shared)
+    assert len(packed) == 27 and jaccard._unpack_shared(packed).tolist() == shared.tolist()
