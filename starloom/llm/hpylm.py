@@ -108,16 +108,18 @@ def _names(pairs: np.ndarray, rest: np.ndarray) -> np.ndarray:
 #: What a block says of the words of a document that it has.
 _SUMS = np.dtype([("place", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
-def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """The places of numbers among known ones, which are in order, or one past the last.
+def _places_in_order(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The places of numbers, in long runs in order, among known ones, all in order, or one past the last."""
+    found = np.searchsorted(known, asked)
+    found[np.append(known, np.uint64(0))[found] != asked] = len(known)
+    return found
 
-    They are looked for in their order, which is several times faster.
-    """
+
+def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The same of numbers in any order. They are looked for in their order, which is several times faster."""
     order = np.argsort(asked)
-    found = np.searchsorted(known, asked[order])
-    found[np.append(known, np.uint64(0))[found] != asked[order]] = len(known)
-    places = np.empty_like(found)
-    places[order] = found
+    places = np.empty(len(asked), np.int64)
+    places[order] = _places_in_order(known, asked[order])
     return places
 
 
@@ -574,7 +576,8 @@ def _score(owners: int, total: int, customers: int, kinds: int):
                 pairs, rest = (np.concatenate([row[name] for row in some]) for name in ("pairs", "rest"))
                 edges = np.cumsum([0, *[int(row["places"].max()) + 1 for row in some]])
                 owner = np.concatenate([row["places"] + edge for row, edge in zip(some, edges[:-1], strict=True)])
-                at, place = _places(words, pairs >> _UPPER), _places(names, _names(pairs, rest))
+                # The pairs of each row are in order, and so are their words; their names are not.
+                at, place = _places_in_order(words, pairs >> _UPPER), _places(names, _names(pairs, rest))
                 chance = np.where(place < last_pair, of_pair[place], of_word[at]) + leaves[at]
                 here = np.flatnonzero(np.bincount(owner))
                 cuts = np.searchsorted(here, edges)

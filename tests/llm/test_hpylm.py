@@ -63,3 +63,14 @@ def test_weights_of_seatings():
     for c in (2100, 3000):
         t = np.array([1, 2, 3, 50, 300, 1000, c - 60, c - 1, c])
         assert np.allclose(hpylm.log_stirling(c, t), hpylm.stirling_row(c)[t - 1], atol=1e-7)
+
+
+def test_places_of_runs_in_order():
+    random = np.random.default_rng(5)
+    known = np.unique(random.integers(0, 4000, 1000).astype(np.uint64))
+    runs = np.concatenate([np.sort(random.integers(0, 4000, 500)) for _ in range(5)]).astype(np.uint64)
+    for asked in (runs, runs[:0]):
+        found = hpylm._places_in_order(known, asked)
+        assert found.tolist() == hpylm._places(known, asked).tolist()
+        place = {number: k for k, number in enumerate(known.tolist())}
+        assert found.tolist() == [place.get(number, len(known)) for number in asked.tolist()]
